@@ -64,7 +64,7 @@ def votes(text: str, words: list[str]) -> tuple[int, ...]:
         _vote(function, function >= 0.1, function < 0.03 and long),
         _vote(stutter, stutter < 0.03, stutter > 0.15),
         _vote(variety, variety > 0.4, variety < 0.3 and n >= 50),
-        _vote(bars, False, bars > 0.05),
+        _vote(bars, bars < 0.01, bars > 0.05),
         _vote(doubled, doubled < 0.01, doubled > 0.1),
         _vote(stops, long and 0.02 <= stops <= 0.4, n >= 60 and stops < 0.012),
         _vote(length, 2.0 <= length <= 9.0, not 1.5 <= length <= 12.0),
@@ -82,7 +82,8 @@ def _unpack(patterns: np.ndarray) -> np.ndarray:
 
 @dataclass
 class LabelModel:
-    """prior of good; table[labeller, class, vote], class 0 bad and 1 good."""
+    """prior of good; table[labeller, class, vote]: class 0 bad, 1 good; of those who vote, the share that votes so.
+    Whether one votes says nothing of the class (short texts get few votes, not bad ones)."""
 
     prior: float
     table: np.ndarray
@@ -92,13 +93,13 @@ class LabelModel:
         v = _unpack(patterns)
         good, bad = (v == GOOD).sum(1), (v == BAD).sum(1)
         q = (good - 2.0 * bad > 0).astype(float) * 0.9 + 0.05  # the first guess: votes against count twice
-        model = cls(0.5, np.zeros((len(LABELLERS), 2, 3)))
+        model = cls(0.5, np.ones((len(LABELLERS), 2, 3)))
         for _ in range(rounds):
             before = q
             weight = np.stack([counts * (1 - q), counts * q])
             for i in range(len(LABELLERS)):
-                hits = np.stack([[w[v[:, i] == x].sum() for x in range(3)] for w in weight])
-                model.table[i] = (hits + 0.5) / (hits + 0.5).sum(1, keepdims=True)
+                hits = np.array([[w[v[:, i] == x].sum() for x in (BAD, GOOD)] for w in weight]) + 0.5
+                model.table[i, :, BAD:] = hits / hits.sum(1, keepdims=True)
             model.prior = float((weight[1].sum() + 1) / (weight.sum() + 2))
             q = model.posterior(patterns)
             if np.abs(q - before).max() < tolerance:
