@@ -148,14 +148,14 @@ def base_number(ref: Column) -> Column:
 
 
 def semicolon_parts(ref: Column) -> Column:
-    return F.filter(F.transform(F.split(ref, ";"), F.trim), lambda p: p != "")
+    return F.filter(F.transform(F.split(ref, ";"), lambda t: F.trim(t)), lambda p: p != "")
 
 
 def letter_range(ref: Column) -> Column:
     """17A-C to [17A, 17B, 17C], in either order, over five letters at most; else empty."""
     base = F.regexp_extract(ref, "^([0-9]+)", 1)
     rest = F.regexp_replace(ref, "^[0-9]+", "")
-    letters = F.filter(F.transform(F.split(rest, "-"), F.trim), lambda s: s.rlike("^[A-Z]$"))
+    letters = F.filter(F.transform(F.split(rest, "-"), lambda t: F.trim(t)), lambda s: s.rlike("^[A-Z]$"))
     first, last = F.ascii(F.get(letters, F.lit(0))), F.ascii(F.get(letters, F.size(letters) - 1))
     low, high = F.least(first, last), F.greatest(first, last)
     fits = (base != "") & (rest != "") & (F.size(letters) >= 2) & (high - low <= 5)
@@ -170,7 +170,7 @@ def _with_base(parts: Column, base: Column) -> Column:
 
 def comma_parts(ref: Column) -> Column:
     """11A,B to [11A, 11B]; empty without a comma."""
-    parts = F.filter(F.transform(F.split(ref, ","), F.trim), lambda p: p != "")
+    parts = F.filter(F.transform(F.split(ref, ","), lambda t: F.trim(t)), lambda p: p != "")
     base = F.regexp_extract(F.trim(F.element_at(F.split(ref, ","), 1)), "^([0-9]*)", 1)
     return F.when(ref.contains(","), _with_base(parts, base)).otherwise(F.array().cast("array<string>"))
 
@@ -179,7 +179,7 @@ _NONE = "array<string>"
 
 
 def _list(raw: Column, sign: str) -> Column:
-    return F.filter(F.transform(F.split(raw, sign), F.trim), lambda p: p != "")
+    return F.filter(F.transform(F.split(raw, sign), lambda t: F.trim(t)), lambda p: p != "")
 
 
 def _numbered(parts: Column) -> Column:

@@ -228,17 +228,14 @@ def node_components(ways: dict[int, list[int]], ids: Iterable[int]) -> list[set[
     return out
 
 
-def adopt_connectors(assigned: set[int], ways: dict[int, list[int]], graph: Connectors, allowed=None, fallback=None, most: int | None = None) -> set[int]:
+def adopt_connectors(assigned: set[int], ways: dict[int, list[int]], net: Connectors) -> set[int]:
     """assigned with the ways of the cheapest path between any two of its components, again and again until there is
-    one component or no path. fallback and most: another rule for ways, up to a cost, where there is no path."""
+    one component or no path."""
     assigned = set(assigned)
     while len(parts := node_components(ways, assigned)) > 1:
         best = None
         for k, part in enumerate(parts):
-            others = set().union(*parts[:k], *parts[k + 1 :])
-            path = graph.cheapest(part, others, allowed)
-            if path is None and fallback is not None:
-                path = graph.cheapest(part, others, fallback, most)
+            path = net.cheapest(part, set().union(*parts[:k], *parts[k + 1 :]))
             if path is not None and (best is None or path[0] < best[0]):
                 best = path
         if best is None or assigned.issuperset(best[1]):
