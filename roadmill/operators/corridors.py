@@ -295,7 +295,7 @@ def corridor_exits(drafts: DataFrame, entries: DataFrame, all_exits: DataFrame,
     names = drafts.select("corridor_id", "highway")
     assigned = drafts.select("corridor_id", F.explode("way_ids").alias("way_id")).join(ways.select("way_id", F.explode("node_ids").alias("node")), "way_id").select("corridor_id", "node").distinct()
     nodes = checkpoint(exit_ops.expand_nodes(assigned, ways, names))
-    listed = entries.join(names, "highway").join(nodes, (F.col("graph_node") == nodes.node) & (names.corridor_id == nodes.corridor_id), "left_semi").select(*exit_ops.EXIT)
+    listed = entries.join(names, "highway").join(nodes.withColumnRenamed("node", "graph_node"), ["corridor_id", "graph_node"], "left_semi").select(*exit_ops.EXIT)
     found = checkpoint(exit_ops.unlisted_exits(listed, nodes, all_exits, names))
     found = checkpoint(found.unionByName(exit_ops.sibling_exits(found, all_exits)))
     lines = drafts.select("corridor_id", "highway", "lines")
