@@ -141,66 +141,79 @@ def open_block(data: bytes) -> Block:
 
 # ---------------------------------------------------------------- encoding
 
-#: Chunks of these characters split into the same words whether alone or in a row, so that many are encoded at once.
-_PLAIN = re.compile(r"[A-Za-z0-9À-ÖØ-öø-ÿ!-/:-@\[-`{-~]+")
+#: Chunks of these characters need no normalisation but lower-casing, and split into the same words alone or in a row.
+_PLAIN = re.compile(rb"(?:[!-~]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
-_WHITE = re.compile(r"[\x20\x09-\x0D]+")
 
 
-class Encoder:
-    """Encodes texts by their white-space chunks, each once, where the tokenizer's rules look at no more than a
-    chunk (it drops white space and marks word ends); else whole texts. The cache is bounded."""
+def _byte_letters() -> dict[int, str]:
+    """The letter that a byte-level model writes for each byte: printable bytes stand for themselves, the others, in
+    order, for the characters from 256 on."""
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+class Encoder(dict):
+    """Encodes texts by their white-space chunks, each once, where the tokenizer looks at no more than a chunk; else
+    whole texts. Plain chunks go to the tokenizer's model at once, others through all of its steps; which of the two
+    give the same is tried on a probe. The mapping itself is the cache, of chunk to ids, with an older generation
+    behind it; both are of bounded size."""
+
+    LIMIT = 400_000
 
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
 
+        super().__init__()
+        self.old: dict[bytes, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenize = self.tokenizer.model.tokenize
         size = max(self.tokenizer.get_vocab_size(with_added_tokens=True), end_id + 1)
         self.width = 2 if size <= 1 << 16 else 4
-        self.type, self.end = f"<u{self.width}", end_id
-        self.end_bytes = np.array([end_id], self.type).tobytes()
-        vocab = self.tokenizer.get_vocab(with_added_tokens=False)
-        self.ends = np.zeros(size, bool)
-        self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
-        self.by_chunk = self._splits_by_white_space()
-        self.cache: dict[str, bytes] = {}
-
-    def _splits_by_white_space(self) -> bool:
-        probe = "don't  stop,\tx9 é_z!! \n<b>ok</b> A"
-        whole = self._ids([probe])[0].tolist()
-        return bool(self.ends.any()) and whole == [i for c in _WHITE.split(probe) for i in self._ids([c])[0].tolist()]
-
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, self.type) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, chunks: list[str]) -> None:
-        plain = [c for c in chunks if _PLAIN.fullmatch(c) and "<|" not in c]
-        for i in range(0, len(plain), 2000):
-            part = plain[i : i + 2000]
-            ids = self._ids([" ".join(part)])[0]
-            last = np.flatnonzero(self.ends[ids]) + 1
-            words = np.cumsum([len(_WORDS.findall(c.lower())) for c in part])
-            if len(last) == words[-1] and last[-1] == len(ids):
-                at = last[words - 1].tolist()
-                data, w = ids.tobytes(), self.width
-                for c, a, b in zip(part, [0, *at], at, strict=False):
-                    self.cache[c] = data[a * w : b * w]
-        rest = [c for c in chunks if c not in self.cache]
-        for c, ids in zip(rest, self._ids(rest), strict=True):
-            self.cache[c] = ids.tobytes()
+        self.type = f"<u{self.width}"
+        self.bytes_of = [i.to_bytes(self.width, "little") for i in range(size)]
+        self.end_bytes = self.bytes_of[end_id]
+        self.letters = str.maketrans(_byte_letters())
+        probe = "don't  stop,\tx9 é_z!!\r\n<b>ok</b> A É“ß” ŁódŹ 12.5% ÖÄ|ü we'll 'S Été, a.b"
+        chunks = probe.encode().split()
+        self.by_chunk = self._whole(probe) == b"".join(self._whole(c.decode()) for c in chunks)
+        self.by_model = self.by_chunk and all(self._plain(c) == self._whole(c.decode()) for c in chunks if _PLAIN.fullmatch(c))
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type).tobytes()
+
+    def _plain(self, chunk: bytes) -> bytes:
+        text = chunk.decode().lower()
+        if text.isalpha():
+            words = [text]
+        elif text[:-1].isalpha() and text[-1] in ".,;:!?":
+            words = [text[:-1], text[-1]]
+        else:
+            words = _WORDS.findall(text)
+        tokenize, letters, bytes_of = self.tokenize, self.letters, self.bytes_of
+        return b"".join([bytes_of[t.id] for w in words for t in tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(letters))])
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        data = self.old.get(chunk)
+        if data is None:
+            plain = self.by_model and _PLAIN.fullmatch(chunk) and b"<|" not in chunk
+            data = self._plain(chunk) if plain else self._whole(chunk.decode("utf-8", "surrogatepass"))
+        self[chunk] = data
+        return data
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of each text with the end id."""
         if not self.by_chunk:
-            return [x.tobytes() + self.end_bytes for x in self._ids(texts)]
-        if len(self.cache) > 600_000:
-            self.cache.clear()
-        split = [[c for c in _WHITE.split(t) if c] for t in texts]
-        new = dict.fromkeys(c for s in split for c in s if c not in self.cache)
-        if new:
-            self._learn(list(new))
-        known = self.cache.__getitem__
-        return [b"".join(map(known, s)) + self.end_bytes for s in split]
+            return [self._whole(t) + self.end_bytes for t in texts]
+        out = []
+        for t in texts:
+            if len(self) > self.LIMIT:
+                self.old = dict(self)
+                self.clear()
+            # split at the six ASCII white spaces
+            out.append(b"".join(map(self.__getitem__, t.encode("utf-8", "surrogatepass").split())) + self.end_bytes)
+        return out
 
 
 _encoders: dict[tuple[str, int], Encoder] = {}
