@@ -87,8 +87,10 @@ def identities(docs: DataFrame, block_bytes: int = 4096) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, block_bytes: int = 4096) -> DataFrame:
-    """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256. The group's size and smallest id
-    are joined back (AQE splits a hot group), never windowed."""
+    """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256. Groups of several rows are a table
+    of their own, joined back (AQE splits a hot group), never windowed."""
     found = scratch(identities(docs, block_bytes), "naming-identities")
-    groups = found.groupBy("identity").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    return found.join(groups, "identity").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha256").alias("text_sha256"))
+    groups = found.groupBy("identity").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1")
+    joined = found.join(scratch(groups, "naming-groups"), "identity", "left")
+    keep = F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("least"))
+    return joined.select("doc_id", keep.alias("keep_id"), F.coalesce("n", F.lit(1)).cast("long").alias("group_size"), F.col("doc_id").eqNullSafe(keep).alias("kept"), F.col("sha256").alias("text_sha256"))
