@@ -3,7 +3,9 @@
 Every document has a 36-bit hash. Sizes are summed by source and the hash's first 12 bits; where the running
 sum passes a source's budget lies the boundary bucket, and only its rows are summed again by the next 12
 bits, then by the last 12. The result is one threshold per source, and documents below it are taken: no sort,
-no gather. Targets above a source's size take every document once and spend the rest the same way.
+no gather. Targets above a source's size take every document once and spend the rest the same way. A source's long,
+middling and short documents have thresholds of their own, in this order, each making up for what the ones before
+left of the budget.
 
 Nulls and ties: a null text has size 0; a null source is a source of its own, the last; rows that agree in id,
 source and text share a hash, and are taken or left together. Empty tables and sources of size 0 give target
@@ -72,40 +74,54 @@ def _thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
             F.min(F.when(F.col("upto") > F.col("left"), F.col("bucket"))).alias("at"),
         )
         past = F.col("cut") + F.lit(width << BITS)  # no bucket passes the budget: everything inside is taken
-        state = scratch(
-            state.join(found, "src", "left").select("src", (F.col("left") - F.coalesce(F.col("spent"), F.lit(0))).alias("left"), F.coalesce(F.col("at") * width, past).alias("cut")),
-            f"mix-cuts-{step}",
-        )
+        state = scratch(state.join(found, "src", "left").select("src", (F.col("left") - F.coalesce(F.col("spent"), F.lit(0))).alias("left"), F.coalesce(F.col("at") * width, past).alias("cut")), f"mix-cuts-{step}")
     return state.select("src", "cut")
 
 
+#: Documents above a 32nd of their source, those above a 512th, and the rest.
+STRATA = (32, 512)
+
+
+def _stratum(size: Column, source_size: Column) -> Column:
+    return F.when(size * STRATA[0] > source_size, 0).when(size * STRATA[1] > source_size, 1).otherwise(2)
+
+
 def plan(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> tuple[DataFrame, DataFrame]:
-    """(rows, goal) of docs(doc_id, text, source): rows(doc_id, src, size, h), and by source
-    goal(src, source_size, target, whole, cut): whole passes, then the documents with h < cut once more."""
+    """(rows, goal) of docs(doc_id, text, source): rows(doc_id, src, size, h), and by source goal(src, source_size,
+    target, whole, cuts): whole passes, then the documents whose hash is below their stratum's cut once more. Strata
+    of smaller documents make up for what those of larger ones miss, so that a source whose words lie in a few long
+    documents still comes near its target."""
     rows = scratch(docs.select("doc_id", _key(F.col("source")).alias("src"), n_words(F.col("text")).alias("size"), mix_hash(F.col("doc_id"), F.col("source"), F.col("text")).alias("h")), "mix-rows")
     goal = scratch(targets(rows.groupBy("src").agg(F.sum("size").alias("source_size")), weights, share, most), "mix-targets")
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
-    goal = goal.withColumn("whole", whole)
-    cuts = _thresholds(rows, goal.select("src", (F.col("target") - F.col("whole") * F.col("source_size")).alias("left")))
-    return rows, scratch(goal.join(cuts, "src"), "mix-goal")
+    goal = goal.withColumn("whole", whole).withColumn("rest", (F.col("target") - F.col("whole") * F.col("source_size")) / F.greatest("source_size", F.lit(1)))
+    kept = rows.join(goal.select("src", "source_size"), "src").withColumn("stratum", _stratum(F.col("size"), F.col("source_size"))).drop("source_size")
+    sums = kept.groupBy("src").agg(*(F.coalesce(F.sum(F.when(F.col("stratum") <= k, F.col("size"))), F.lit(0)).alias(f"upto{k}") for k in range(3)))
+    goal = scratch(goal.join(sums, "src").withColumn("spent", F.lit(0).cast("long")), "mix-strata")
+    for k in range(3):
+        part = kept.where(F.col("stratum") == k).select("src", "size", "h")
+        cuts = _thresholds(part, goal.select("src", (F.col("rest") * F.col(f"upto{k}") - F.col("spent")).alias("left")))
+        took = part.join(cuts, "src").where(F.col("h") < F.col("cut")).groupBy("src").agg(F.sum("size").alias("took"))
+        goal = scratch(goal.join(cuts.withColumnRenamed("cut", f"cut{k}"), "src").join(took, "src", "left").withColumn("spent", F.col("spent") + F.coalesce("took", F.lit(0))).drop("took"), f"mix-goal{k}")
+    return rows, goal.select("src", "source_size", "target", "whole", F.array("cut0", "cut1", "cut2").alias("cuts"))
 
 
-def _times(h: Column, most: float) -> Column:
-    return F.least(F.col("whole") + (h < F.col("cut")).cast("long"), F.lit(int(most)))
+def _times(h: Column, size: Column, most: float) -> Column:
+    cut = F.element_at("cuts", _stratum(size, F.col("source_size")) + 1)
+    return F.least(F.col("whole") + (h < cut).cast("long"), F.lit(int(most)))
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
     """docs(doc_id, text, source): doc_id, size, source_size, target, taken, times."""
     rows, goal = plan(docs, weights, share, most)
-    times = _times(F.col("h"), most)
+    times = _times(F.col("h"), F.col("size"), most)
     return rows.join(goal, "src").select("doc_id", "size", "source_size", "target", (F.col("size") * times).alias("taken"), times.alias("times"))
 
 
 def take(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
     """docs itself as mixed: a row for each time that a document is taken, with the columns of docs."""
     _, goal = plan(docs, weights, share, most)
-    goal = goal.select(F.col("src").alias("__mix_src"), *(F.struct("whole", "cut").alias("__mix_goal"),))
-    held = docs.withColumns({"__mix_src": _key(F.col("source")), "__mix_h": mix_hash(F.col("doc_id"), F.col("source"), F.col("text"))}).join(goal, "__mix_src")
-    times = F.least(F.col("__mix_goal.whole") + (F.col("__mix_h") < F.col("__mix_goal.cut")).cast("long"), F.lit(int(most)))
-    again = held.where(times > 0).withColumn("__mix_time", F.explode(F.sequence(F.lit(1).cast("long"), times)))
-    return again.select(*(F.col(f"`{c}`") for c in docs.columns))
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    keyed = docs.select(row, _key(F.col("source")).alias("src"), n_words(F.col("text")).alias("size"), mix_hash(F.col("doc_id"), F.col("source"), F.col("text")).alias("h")).join(goal, "src")
+    timed = keyed.select("row", _times(F.col("h"), F.col("size"), most).alias("times")).where("times > 0")
+    return timed.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select(*(F.col(f"row.`{c}`") for c in docs.columns))

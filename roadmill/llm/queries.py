@@ -169,10 +169,22 @@ with r as (
   select src, source_size, coalesce(least(level * w, cap), cap) as target from s5
 ), s7 as (
   select *, case when source_size > 0 then floor(target / source_size)::bigint else 0 end as whole from s6
+), g as (
+  select *, (target - whole * source_size) / greatest(source_size, 1) as rest from s7
 ), c as (
-  select r.*, sum(size) over (partition by src order by h range between unbounded preceding and current row) as upto from r
+  select r.*, case when size * 32 > source_size then 0 when size * 512 > source_size then 1 else 2 end as stratum from r join g using (src)
+), t as (
+  select src, coalesce(sum(size) filter (stratum <= 0), 0)::bigint as upto0, coalesce(sum(size) filter (stratum <= 1), 0)::bigint as upto1, sum(size)::bigint as upto2 from c group by 1
+), u as (
+  select *, sum(size) over (partition by src, stratum order by h range between unbounded preceding and current row) as upto from c
+), g0 as (
+  select g.*, upto0, upto1, upto2, rest * upto0 as left0 from g join t using (src)
+), g1 as (
+  select g0.*, rest * upto1 - coalesce((select max(upto) from u where u.src = g0.src and stratum = 0 and upto <= left0), 0) as left1 from g0
+), g2 as (
+  select g1.*, rest * upto2 - coalesce((select max(upto) from u where u.src = g1.src and stratum = 0 and upto <= left0), 0) - coalesce((select max(upto) from u where u.src = g1.src and stratum = 1 and upto <= left1), 0) as left2 from g1
 )
-select doc_id, size, source_size, target, size * least(whole + (upto <= target - whole * source_size)::bigint, 2) as taken from c join s7 using (src)
+select doc_id, size, source_size, target, size * least(whole + (upto <= case stratum when 0 then left0 when 1 then left1 else left2 end)::bigint, 2) as taken from u join g2 using (src)
 """
 
 _OP7 = r"""
