@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +31,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 _written: list[tuple[str, str]] = []
+#: Rows of whole texts that go to a Python worker at once.
+_BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 
 
 def scratch(df: DataFrame, name: str) -> DataFrame:
@@ -36,7 +40,12 @@ def scratch(df: DataFrame, name: str) -> DataFrame:
     gives the planner the true size."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/scratch/{uuid.uuid4().hex}-{name}"
-    df.write.parquet(path)
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(BATCH_ROWS))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH, before)
     _written.append((spark.sparkContext.applicationId, path))
     return spark.read.schema(df.schema).parquet(path)
 
@@ -63,6 +72,18 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
+_user: tuple[str, Callable[[], object]] | None = None
+
+
+def use_worker(name: str, clear: Callable[[], object]) -> None:
+    """Called by a function that starts in a Python worker: what another operator has cached in it is cleared."""
+    global _user
+    if _user and _user[0] != name:
+        _user[1]()
+        gc.collect()
+    _user = name, clear
+
+
 def pieces(batch, *columns: str, rows: int = 256):
     """Lists of a record batch's columns, a few rows at a time, so that few texts are Python objects at once."""
     for start in range(0, batch.num_rows, rows):

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import pieces, scratch, shuffle_partitions
+from .common import pieces, scratch, shuffle_partitions, use_worker
 
 # ---------------------------------------------------------------- Elias-Fano
 
@@ -160,7 +160,7 @@ class Encoder(dict):
     give the same is tried on a probe. The mapping itself is the cache, of chunk to ids, with an older generation
     behind it; both are of bounded size."""
 
-    LIMIT = 400_000
+    LIMIT = 300_000
 
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
@@ -229,6 +229,7 @@ def _write(path: str, end_id: int, block_ids: int, block_docs: int):
     schema = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("before", pa.int64()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("payload", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use_worker("tokens", _encoders.clear)
         encoder, part = _encoder(path, end_id), TaskContext.get().partitionId()
         seq, before, total = 0, 0, 0
         names: list[int | None] = []

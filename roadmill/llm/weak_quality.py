@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces
+from .common import pieces, use_worker
 
 NONE, BAD, GOOD = 0, 1, 2
 DIMENSIONS = 2048
@@ -125,32 +125,49 @@ class LabelModel:
 # ---------------------------------------------------------------- features and scorer
 
 _RUNS = re.compile(r"(.)\1+", re.S)
-_KIND = re.compile(r"[^\W\d_]")
 
 
-def _shape(word: str) -> str:
-    kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word)
-    return _RUNS.sub(r"\1+", kinds)
+class _Kinds(dict):
+    """Character to A, a, 0 or itself, for str.translate."""
 
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        self[code] = kind = "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
+        return kind
 
-def _slots(word: str) -> tuple[int, int]:
-    """Hashed places of the word's shape and of the word."""
-    return xxhash.xxh32_intdigest(_shape(word)) % DIMENSIONS, xxhash.xxh32_intdigest(word, 1) % DIMENSIONS
 
-
-_slot_cache: dict[str, tuple[int, int]] = {}
+_kinds = _Kinds()
+_shape_slots: dict[str, int] = {}
+_slots: dict[str, int] = {}
 _AGAIN = xxhash.xxh32_intdigest("\0again") % DIMENSIONS
 
 
+def _clear() -> None:
+    for cache in (_kinds, _shape_slots, _slots):
+        cache.clear()
+
+
+def _slot(word: str) -> int:
+    """Hashed places of the word's shape (runs of a kind count once) and of the word, as one number."""
+    kinds = word.translate(_kinds)
+    shape = _shape_slots.get(kinds)
+    if shape is None:
+        if len(_shape_slots) > 50_000:
+            _shape_slots.clear()
+        _shape_slots[kinds] = shape = xxhash.xxh32_intdigest(_RUNS.sub(r"\1+", kinds)) % DIMENSIONS
+    return shape * DIMENSIONS + xxhash.xxh32_intdigest(word, 1) % DIMENSIONS
+
+
 def features(words: list[str]) -> np.ndarray:
     """Square roots of the shares of hashed places, of unit length."""
-    known = _slot_cache
-    if len(known) > 400_000:
+    known = _slots
+    if len(known) > 100_000:
         known.clear()
+        _kinds.clear()
     for w in set(words).difference(known):
-        known[w] = _slots(w)
-    at = np.array([known[w] for w in words], np.int64).ravel()
-    counts = np.bincount(at, minlength=DIMENSIONS).astype(np.float64)
+        known[w] = _slot(w)
+    at = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+    counts = (np.bincount(at // DIMENSIONS, minlength=DIMENSIONS) + np.bincount(at % DIMENSIONS, minlength=DIMENSIONS)).astype(np.float64)
     counts[_AGAIN] += 2 * sum(map(operator.eq, words, words[1:]))
     return np.sqrt(counts / max(1.0, counts.sum()))
 
@@ -161,21 +178,21 @@ class Scorer:
     bias: float
 
     @classmethod
-    def fit(cls, x: np.ndarray, q: np.ndarray, rounds: int = 300, penalty: float = 1e-4) -> Scorer:
-        """Logistic regression on soft labels by accelerated gradient steps; deterministic."""
-        w, b = np.zeros(x.shape[1]), 0.0
-        pw, pb, rate = w.copy(), b, 8.0  # rows have unit length: the loss bends by 1/4 * 2 at most
+    def fit(cls, x: np.ndarray, q: np.ndarray, rounds: int = 150, penalty: float = 1e-4) -> Scorer:
+        """Logistic regression on soft labels by accelerated gradient steps, in single precision; deterministic."""
+        x, q, f = x.astype(np.float32, copy=False), q.astype(np.float32), np.float32
+        w, b = np.zeros(x.shape[1], f), f(0)
+        pw, pb, rate = w.copy(), b, f(4.0)  # rows have unit length, and the loss bends by a quarter
         share = min(max(float(q.mean()), 1e-6), 1 - 1e-6)
-        scale = np.where(q >= 0.5, 0.5 / share, 0.5 / (1 - share))  # both classes weigh the same
-        scale = np.minimum(scale, 10.0)
+        scale = np.minimum(np.where(q >= 0.5, f(0.5 / share), f(0.5 / (1 - share))), f(10))  # both classes weigh the same
         for step in range(1, rounds + 1):
             p = 1 / (1 + np.exp(-np.clip(x @ pw + pb, -30, 30)))
             g = (p - q) * scale
-            nw, nb = pw - rate / 2 * (x.T @ g / len(q) + penalty * pw), pb - rate / 2 * g.mean()
-            k = (step - 1) / (step + 2)
+            nw, nb = pw - rate * (g @ x / f(len(q)) + f(penalty) * pw), pb - rate * g.mean()
+            k = f((step - 1) / (step + 2))
             pw, pb = nw + k * (nw - w), nb + k * (nb - b)
             w, b = nw, nb
-        return cls(w, float(b))
+        return cls(w.astype(np.float64), float(b))
 
     def score(self, words: list[str]) -> float:
         """The probability of good; 0 for a text without words."""
@@ -185,12 +202,14 @@ class Scorer:
 
 
 def _patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    use_worker("quality", _clear)
     for batch in batches:
         for (texts,) in pieces(batch, "text"):
             yield pa.RecordBatch.from_arrays([pa.array([pattern(t) for t in texts], pa.int32())], names=["pattern"])
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    use_worker("quality", _clear)
     for batch in batches:
         for orders, texts in pieces(batch, "order", "text"):
             split = [(t or "").split() for t in texts]
@@ -232,6 +251,7 @@ def fit(docs: DataFrame, sample: int = 4000) -> QualityModel | None:
 
 def _scored(model: QualityModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use_worker("quality", _clear)
         posterior: dict[int, float] = {}
         for batch in batches:
             for ids, ties, texts in pieces(batch, "doc_id", "tie", "text"):
@@ -263,6 +283,7 @@ def keep_good(docs: DataFrame, model: QualityModel | None) -> DataFrame:
     scorer, threshold, place = model.scorer, model.threshold, docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use_worker("quality", _clear)
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
