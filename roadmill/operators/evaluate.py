@@ -5,7 +5,10 @@ truth(highway, ref, lat, lon) may list an exit several times; own(highway, ref,
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+from pathlib import Path
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadmill.functions import geo, refs
@@ -100,3 +103,18 @@ def regressions(before: DataFrame, matched: DataFrame) -> DataFrame:
 
 def gates(n_corridors: int, n_regressions: int, least: int = LEAST_CORRIDORS) -> dict[str, bool]:
     return {"corridors": n_corridors >= least, "regressions": n_regressions == 0}
+
+
+def save_baseline(matched: DataFrame, path: Path) -> int:
+    """The matched pairs and the score as JSON, to be held against later runs; returns the number of pairs."""
+    pairs = sorted((r.highway, r.ref) for r in matched.where("how is not null").select("highway", "ref").toLocalIterator())
+    told = score(matched).first()
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(json.dumps({"score": told.percent, "matched_count": len(pairs), "matched_pairs": pairs}, indent=2) + "\n")
+    return len(pairs)
+
+
+def load_baseline(spark: SparkSession, path: Path) -> DataFrame:
+    """(highway, ref) of a saved baseline; none if there is no file."""
+    pairs = json.loads(path.read_text())["matched_pairs"] if path.exists() else []
+    return spark.createDataFrame([tuple(p) for p in pairs], "highway string, ref string")

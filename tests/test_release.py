@@ -50,7 +50,7 @@ def test_ways_without_all_places_go(spark):
 # ---------------------------------------------------------------- evaluation
 
 
-def test_the_match_cascade(spark):
+def test_the_match_cascade(spark, tmp_path):
     own = spark.createDataFrame([("I-1", "19A", 0.0, 0.0), ("I-1", "19B", 0.0, 0.0), ("I-1", "121", 0.0, 0.0), ("I-1", "58", 0.0, 0.0), ("I-35", "25A", 0.0, 0.0), ("I-1", "7", 40.0, -75.0), ("I-1", "5A", 9.0, 9.0)], "highway string, ref string, lat double, lon double")
     truth = spark.createDataFrame(
         [("I-1", "19A", None, None), ("I-1", "19A,B", None, None), ("I-1", "19A,88", None, None), ("I-1", "121A", None, None), ("I-1", "58.5", None, None), ("I-35W", "25A", None, None), ("I-1", "99", 40.003, -75.0), ("I-1", "98", 40.006, -75.0), ("I-1", "5", None, None)],
@@ -63,6 +63,9 @@ def test_the_match_cascade(spark):
     assert tuple(evaluate.score(found).first()) == (9, 7, 77.78)
     before = spark.createDataFrame([("I-1", "19A"), ("I-1", "98")], "highway string, ref string")
     assert [tuple(r) for r in evaluate.regressions(before, found).collect()] == [("I-1", "98")]
+    assert evaluate.load_baseline(spark, tmp_path / "b.json").count() == 0
+    assert evaluate.save_baseline(found, tmp_path / "b.json") == 7
+    assert evaluate.regressions(evaluate.load_baseline(spark, tmp_path / "b.json"), found).count() == 0
     assert evaluate.gates(262, 0) == {"corridors": True, "regressions": True} and not evaluate.gates(261, 1)["corridors"]
 
 
