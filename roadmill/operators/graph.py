@@ -215,6 +215,27 @@ class Connectors:
         return None
 
 
+    def nearest_part(self, parts: list[set[int]]) -> int | None:
+        """The component from which the cheapest path to another one starts; of several the first. One search from all
+        components at once: a node keeps its two nearest components, as one of them may be the path's end."""
+        part_of = {n: k for k, nodes in enumerate(parts) for n in nodes}
+        seen: dict[int, tuple[int, ...]] = {}
+        heap = [(0, k, n) for n, k in part_of.items()]
+        heapq.heapify(heap)
+        while heap:
+            c, k, node = heapq.heappop(heap)
+            known = seen.get(node, ())
+            if k in known or len(known) == 2:
+                continue
+            seen[node] = (*known, k)
+            if part_of.get(node, k) != k:
+                return k
+            for dst, weight, _ in self.at.get(node, ()):
+                if k not in seen.get(dst, ()):
+                    heapq.heappush(heap, (c + weight, k, dst))
+        return None
+
+
 def node_components(ways: dict[int, list[int]], ids: Iterable[int]) -> list[set[int]]:
     """Node sets of the components of the ways, by least node."""
     pairs = [p for i in ids for p in zip(ways[i], ways[i][1:])]
@@ -233,14 +254,11 @@ def adopt_connectors(assigned: set[int], ways: dict[int, list[int]], net: Connec
     one component or no path."""
     assigned = set(assigned)
     while len(parts := node_components(ways, assigned)) > 1:
-        best = None
-        for k, part in enumerate(parts):
-            path = net.cheapest(part, set().union(*parts[:k], *parts[k + 1 :]))
-            if path is not None and (best is None or path[0] < best[0]):
-                best = path
-        if best is None or assigned.issuperset(best[1]):
+        k = net.nearest_part(parts)
+        path = None if k is None else net.cheapest(parts[k], set().union(*parts[:k], *parts[k + 1 :]))
+        if path is None or assigned.issuperset(path[1]):
             break
-        assigned.update(best[1])
+        assigned.update(path[1])
     return assigned
 
 

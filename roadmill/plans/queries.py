@@ -90,7 +90,7 @@ def exit_admission(spark, sf_dir):
     ref = F.when(k % 3 == 0, " ").when(k % 3 == 1, "B").otherwise(F.concat(F.lit("x"), k.cast("string")))
     tags = F.when(k % 6 == 0, F.create_map(F.lit("ref"), F.concat(F.lit("A"), k.cast("string")))).otherwise(F.create_map(F.lit("z"), F.lit("z")))
     full = nodes.withColumns({"ref": ref, "name": F.lit("n"), "tags": tags})
-    picks = nodes.where(k % 4 == 0).select("node_id", F.concat(F.lit("I-"), k.cast("string")).alias("highway_pick"))
+    picks = nodes.select("node_id", F.when(k % 4 == 0, F.concat(F.lit("I-"), k.cast("string"))).alias("highway_pick"))
     return projection.admit_exits(full, projection.rest_anchor_exits(nodes, pois), picks).select("id", "ref", "highway")
 
 
@@ -223,12 +223,12 @@ def exit_projection(spark, sf_dir):
     return osm.exit_nodes(nodes).select("node_id", "ref", "name")
 
 
-@query("""w as (select l_orderkey as id, list(l_partkey order by l_linenumber, l_partkey) as nodes, bool_and(l_partkey % 50 <> 0) as whole from lineitem group by 1 having count(*) >= 2)
+@query("""w as (select l_orderkey as id, list(l_partkey order by l_linenumber, l_partkey) as nodes, bool_and(p_size <> 13) as whole from lineitem join part on p_partkey = l_partkey group by 1 having count(*) >= 2)
 ;; select id, len(nodes)::int as n, round(list_sum(list_transform(nodes, lambda k: (k * 7919 % 100003) / 100003.0::double)) + 40.0::double * len(nodes), 6) as lat_sum, round(40.0::double + (nodes[1] * 7919 % 100003) / 100003.0::double, 9) as first_lat from w where whole""")
 def way_geometry(spark, sf_dir):
-    """Every fiftieth node has no place, so ways through one go."""
+    """Parts of size 13 have no place, so ways through one go."""
     k = F.col("p_partkey")
-    nodes = x.load(spark, sf_dir, "part").where(k % 50 != 0).select(k.alias("id"), spot(k, 7919, 40.0).alias("lat"), spot(k, 104729, -75.0).alias("lon"))
+    nodes = x.load(spark, sf_dir, "part").where("p_size <> 13").select(k.alias("id"), spot(k, 7919, 40.0).alias("lat"), spot(k, 104729, -75.0).alias("lon"))
     ways = x.load(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("s")).select(F.col("l_orderkey").alias("id"), F.transform("s", lambda e: e.l_partkey).alias("node_ids"))
     total = F.aggregate(F.transform("points", lambda p: p.lat), F.lit(0.0), lambda s, v: s + v)
     return osm.way_points(ways, nodes).select("id", F.size("points").alias("n"), F.round(total, 6).alias("lat_sum"), F.round(F.element_at("points", 1).lat, 9).alias("first_lat"))
@@ -271,11 +271,11 @@ t as (select a.route, a.src, a.dst, root_relation_id || ':' || dir as sign from
 sd as (select route, src as node, dst as other, sign from t union all select route, dst, src, sign from t),
 bs as (select route, node, other, list_sort(list_distinct(list(sign))) as signs from sd group by all),
 ch as (select route, node from bs group by all having count(*) <> 2 or count(distinct signs) > 1)
-;; select route, node from d where not ((n_in = 1 and n_out = 1) or (n_in = 2 and n_out = 2 and n_both = 2)) union select route, node from d where node in (select c_custkey from customer where c_custkey % 10 = 0) union select route, node from d semi join ch using (route, node)""")
+;; select route, node from d where not ((n_in = 1 and n_out = 1) or (n_in = 2 and n_out = 2 and n_both = 2)) union select route, node from d where node in (select s_suppkey from supplier) union select route, node from d semi join ch using (route, node)""")
 def stop_nodes(spark, sf_dir):
     arcs = _arcs(spark, sf_dir)
     signs = x.load(spark, sf_dir, "lineitem").groupBy(F.concat(F.lit("I-"), (F.col("l_orderkey") % 997).cast("string")).alias("highway"), F.col("l_orderkey").alias("way_id")).agg(F.array_sort(F.collect_set(F.struct((F.col("l_suppkey") % 3).alias("root_relation_id"), F.lit(None).cast("string").alias("direction")))).alias("signature"))
-    at = x.load(spark, sf_dir, "customer").where("c_custkey % 10 = 0").select(F.col("c_custkey").alias("node"))
+    at = x.load(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("node"))
     return graph.stop_nodes(graph.node_degrees(arcs, "route"), at, graph.signature_changes(arcs, signs), "route")
 
 
@@ -333,8 +333,7 @@ def _cut(df: DataFrame) -> DataFrame:
 
 @query()
 def connector_paths(spark, sf_dir):
-    k = F.col("way_id")
-    ways = _mixed_ways(spark, sf_dir).where(k % 23 == 0)
+    ways = _mixed_ways(spark, sf_dir)
     return graph.adopt_connector_paths(graph.assign_ways(ways), ways)
 
 
@@ -398,7 +397,7 @@ def blank_group_filter(spark, sf_dir):
 def _relation_tree(spark, sf_dir) -> DataFrame:
     """Suppliers as relations: of each ten the first is a root over the next three, and each has its lines' parts as ways."""
     k = F.col("l_suppkey")
-    ways = x.load(spark, sf_dir, "lineitem").groupBy(k.alias("relation_id")).agg(F.slice(F.array_sort(F.collect_set("l_partkey")), 1, 40).alias("ways"))
+    ways = x.load(spark, sf_dir, "lineitem").groupBy(k.alias("relation_id")).agg(F.array_sort(F.collect_set("l_partkey")).alias("ways"))
     role = lambda w: pick(w % 5, ["north", "", "forward", "south", ""])
     own = F.transform("ways", lambda w: F.struct(F.lit("w").alias("type"), w.alias("id"), role(w).alias("role")))
     r = F.col("relation_id")
@@ -494,11 +493,11 @@ def exits_along_route(spark, sf_dir):
     return ordered.select("corridor_id", "exit_id", F.round("sort_key_m").cast("long").alias("sort_key_m"), "corridor_index")
 
 
-@query("""w as (select l_suppkey as corridor_id, l_orderkey as way_id from lineitem where l_linenumber = 1), e as (select l_partkey as edge, l_orderkey as way_id from lineitem)
+@query("""w as (select l_suppkey as corridor_id, l_orderkey as way_id from lineitem), e as (select l_partkey as edge, l_orderkey as way_id from lineitem)
 ;; select distinct corridor_id, 'edge/' || edge as edge_id from w join e using (way_id)""")
 def matched_edges(spark, sf_dir):
     rows = x.load(spark, sf_dir, "lineitem")
-    drafts = rows.where("l_linenumber = 1").groupBy(F.col("l_suppkey").alias("corridor_id")).agg(F.collect_set("l_orderkey").alias("way_ids")).withColumn("highway", F.lit("I-1"))
+    drafts = rows.groupBy(F.col("l_suppkey").alias("corridor_id")).agg(F.collect_set("l_orderkey").alias("way_ids")).withColumn("highway", F.lit("I-1"))
     edges = rows.groupBy(F.concat(F.lit("edge/"), F.col("l_partkey").cast("string")).alias("id")).agg(F.collect_set("l_orderkey").alias("way_ids")).withColumn("highway", F.lit("I-1"))
     return corridor_ops.match_edges(drafts, edges)
 
@@ -625,10 +624,10 @@ def first_and_last_writes(spark, sf_dir):
     return first.join(projection.upsert(first.withColumnRenamed("first_order", "n"), last, ["id"]).withColumnRenamed("n", "last_order"), "id")
 
 
-@query("v as (select l_orderkey as id, max(l_suppkey) as v from lineitem where l_linenumber <= 2 group by 1);; select o_orderkey as id, coalesce(v, o_custkey) as value from orders left join v on v.id = o_orderkey")
+@query("v as (select l_orderkey as id, max(l_suppkey) as v from lineitem group by 1);; select o_orderkey as id, coalesce(v, o_custkey) as value from orders left join v on v.id = o_orderkey")
 def update_from_list(spark, sf_dir):
     rows = x.load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("value"))
-    values = x.load(spark, sf_dir, "lineitem").where("l_linenumber <= 2").select(F.col("l_orderkey").alias("id"), F.col("l_suppkey").alias("value"))
+    values = x.load(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id"), F.col("l_suppkey").alias("value"))
     return projection.update_column(rows, values, "id", "value")
 
 
@@ -649,11 +648,11 @@ def _truth(spark, sf_dir) -> DataFrame:
 def _own_exits(spark, sf_dir) -> DataFrame:
     k = F.col("c_custkey")
     letter = pick(k % 4, ["", "A", "B", "C"])
-    return x.load(spark, sf_dir, "customer").where(k % 3 != 0).select(F.when(k % 7 == 0, "I-35").otherwise(F.concat(F.lit("I-"), (k % 40).cast("string"))).alias("highway"), F.concat(((k * 5) % 13 + 1).cast("string"), letter).alias("ref"), (spot(k, 7919, 40.0) + F.lit(0.001)).alias("lat"), spot(k, 104729, -75.0).alias("lon"))
+    return x.load(spark, sf_dir, "customer").select(F.when(k % 7 == 0, "I-35").otherwise(F.concat(F.lit("I-"), (k % 40).cast("string"))).alias("highway"), F.concat(((k * 5) % 13 + 1).cast("string"), letter).alias("ref"), (spot(k, 7919, 40.0) + F.lit(0.001)).alias("lat"), spot(k, 104729, -75.0).alias("lon"))
 
 
 _MATCH = f"""t as (select case when s_suppkey % 5 = 0 then 'I-35W' else 'I-' || (s_suppkey % 40) end as highway, replace({pick_sql("s_suppkey % 8", _TRUTH_REFS)}, '{{n}}', (s_suppkey % 13 + 1)::varchar) as ref, s_suppkey % 8 as kind, (s_suppkey % 13 + 1)::varchar as n, {x.spot_sql("s_suppkey", 7919, 40.0)} as lat, {x.spot_sql("s_suppkey", 104729, -75.0)} as lon from supplier where s_suppkey % 8 <> 7),
-o0 as (select case when c_custkey % 7 = 0 then 'I-35' else 'I-' || (c_custkey % 40) end as highway, (c_custkey * 5 % 13 + 1) || {pick_sql("c_custkey % 4", ["", "A", "B", "C"])} as ref, {x.spot_sql("c_custkey", 7919, 40.0)} + 0.001::double as lat, {x.spot_sql("c_custkey", 104729, -75.0)} as lon from customer where c_custkey % 3 <> 0),
+o0 as (select case when c_custkey % 7 = 0 then 'I-35' else 'I-' || (c_custkey % 40) end as highway, (c_custkey * 5 % 13 + 1) || {pick_sql("c_custkey % 4", ["", "A", "B", "C"])} as ref, {x.spot_sql("c_custkey", 7919, 40.0)} + 0.001::double as lat, {x.spot_sql("c_custkey", 104729, -75.0)} as lon from customer),
 o as (select highway, ref from o0 union select highway, regexp_extract(ref, '^([0-9]+)[A-Z]$', 1) from o0 where regexp_matches(ref, '^[0-9]+[A-Z]$')),
 alts as (select distinct highway, ref, unnest(case kind when 3 then [n || 'A', n || 'B'] when 4 then [n || 'A', n || 'B'] when 5 then [n || 'A', n || 'B', n || 'C'] when 6 then [n] end) as alt from t where kind in (3, 4, 5, 6)),
 ok as (select highway, ref, alt, ((highway, alt) in (select (highway, ref) from o)) or (regexp_matches(alt, '^[0-9]+[A-Z]$') and (highway, regexp_extract(alt, '^([0-9]+)', 1)) in (select (highway, ref) from o)) as hit from alts),

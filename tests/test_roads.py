@@ -54,6 +54,19 @@ def test_a_connector_is_adopted(spark):
     assert edges_of(spark, rows, assigned=adopt) == [("I-95", 1, 4, 0)]
 
 
+def test_the_nearest_part_is_that_of_the_cheapest_path():
+    rng = np.random.default_rng(8)
+    for _ in range(60):
+        arcs = [(int(a), int(b), int(w), k) for k, (a, b, w) in enumerate(zip(rng.integers(0, 40, 90), rng.integers(0, 40, 90), rng.integers(1, 30, 90), strict=True))]
+        net = graph.Connectors(arcs)
+        order = rng.permutation(40).tolist()
+        parts = [set(order[:3]), set(order[3:5]), set(order[5:6]), set(order[6:12])]
+        paths = [net.cheapest(p, set().union(*parts[:k], *parts[k + 1 :])) for k, p in enumerate(parts)]
+        best = min((x[0] for x in paths if x), default=None)
+        expected = next((k for k, x in enumerate(paths) if x and x[0] == best), None)
+        assert net.nearest_part(parts) == expected
+
+
 def test_refless_motorways_are_adopted_round_by_round(spark):
     rows = [way(1, [1, 2]), way(2, [2, 3], []), way(3, [3, 4], []), way(4, [4, 5], ["I-10"]), way(5, [9, 10], [])]
     ways = ways_df(spark, *rows)
