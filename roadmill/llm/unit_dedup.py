@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from .common import LONG_MAX, pieces, scratch
 
 _LINE = re.compile(r"[^\n]+")
-_SENTENCE = re.compile(r"[^.!?]+[.!?]*\s*|[.!?]+\s*")
+#: A sentence ends with stops before white space or the line's end.
+_SENTENCE = re.compile(r"[^.!?]*(?:[.!?]+(?!\s|\Z)[^.!?]+)*[.!?]*\s*")
 LINE, SENTENCE = 0, 1
 
 
