@@ -6,9 +6,11 @@ of one shingle lie next to each other in memory, so all coordinates come from on
 signature bring documents together, and every link is confirmed on the full shingle sets.
 
 Documents with the same set are one class. In a band's bucket of up to `small` classes all are compared; in a
-larger one, each is compared with the bucket's least class, and then, while a bucket still holds several
-components, with pivots from its smaller components, until each class outside the largest component has been
-compared with all others of the bucket. So no link of a bucket is lost, and no bucket's pairs are all made.
+larger one, each is compared with the bucket's cleanest class (the fewest shingles of its own), and then, while a
+bucket still holds several components, with pivots from its smaller components, until each class outside the
+largest component has been compared with all others of the bucket. Pairs are left out only if the numbers of
+shingles that neither shares with anyone rule a link out. So no link of a bucket is lost, and no bucket's pairs
+are all made.
 
 Nulls and ties: documents without words are linked with nothing; rows with a null id are linked like others
 but name no component; repeated rows share a class. Columns other than doc_id and text are not read.
@@ -24,15 +26,17 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LONG_MAX, pieces, scratch
+from .common import LONG_MAX, pieces, scratch, use_worker
 from .components import connected_components
 
 D = 1 << 20
+#: Groups of shingles, by their hashes' first bits, whose counts bound an intersection.
+GROUP_BITS = 6
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Signer:
-    """Shingle sets and signatures; one per Python worker. The word cache is bounded."""
+    """Shingle sets and signatures; one per Python worker."""
 
     def __init__(self, shingle: int, coordinates: int, seed: int):
         rng = np.random.default_rng(seed)
@@ -40,7 +44,6 @@ class Signer:
         self.first = rng.permutation(D).astype(np.int32)
         second = rng.permutation(D).astype(np.uint32)
         self.shifted = np.lib.stride_tricks.sliding_window_view(np.concatenate([second, second[:coordinates]]), coordinates)
-        self.words: dict[bytes, int] = {}
 
     def shingles(self, text: str | None) -> np.ndarray:
         """Sorted distinct 64-bit hashes of the text's shingles, A-Z lower-cased; with fewer words than a shingle
@@ -48,12 +51,7 @@ class Signer:
         words = (text or "").encode("utf-8", "surrogatepass").lower().split()
         if not words:
             return np.empty(0, np.uint64)
-        known = self.words
-        if len(known) > 400_000:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh64_intdigest(w, 11)
-        h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
         size = min(self.shingle, len(words))
         out = np.full(len(words) - size + 1, len(words) if size < self.shingle else 0, np.uint64)
         for i in range(size):
@@ -95,6 +93,7 @@ def _sign(shingle: int, coordinates: int, rows: int, seed: int):
     schema = pa.schema([("doc_id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("n", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64()), ("bands", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use_worker("circulant", _signers.clear)
         signer = _signer(shingle, coordinates, seed)
         for batch in batches:
             for ids, k1, k2, texts in pieces(batch, "doc_id", "k1", "k2", "text"):
@@ -110,15 +109,19 @@ def _sign(shingle: int, coordinates: int, rows: int, seed: int):
 
 
 def _sets(shingle: int, coordinates: int, seed: int):
-    schema = pa.schema([("cid", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+    schema = pa.schema([("cid", pa.int64()), ("shingles", pa.list_(pa.int64())), ("groups", pa.list_(pa.int64()))])
+    shift, size = np.uint64(64 - GROUP_BITS), 1 << GROUP_BITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use_worker("circulant", _signers.clear)
         signer = _signer(shingle, coordinates, seed)
         for batch in batches:
             for cid, texts in pieces(batch, "cid", "text"):
-                yield pa.RecordBatch.from_arrays([pa.array(cid, pa.int64()), pa.array([signer.shingles(t).view(np.int64) for t in texts], pa.list_(pa.int64()))], schema=schema)
+                sets = [signer.shingles(t) for t in texts]
+                groups = [np.bincount((x >> shift).astype(np.int64), minlength=size) for x in sets]
+                yield pa.RecordBatch.from_arrays([pa.array(cid, pa.int64()), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64())), pa.array(groups, pa.list_(pa.int64()))], schema=schema)
 
-    return run, "cid long, shingles array<long>"
+    return run, "cid long, shingles array<long>, groups array<long>"
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -126,8 +129,17 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id"), F.lit(LONG_MAX)).cast("long").alias("k1"), F.xxhash64("text").alias("k2"), "text")
 
 
-def _ratio(a: str, b: str, percent: int):
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+def _enough(both, percent: int):
+    """Whether sets of n and n2 shingles with at most so many in common can be alike enough."""
+    return both * 100 >= (F.col("n") + F.col("n2") - both) * percent
+
+
+def _possible(percent: int):
+    """Whether a class (n, alone, groups) and another (n2, alone2, groups2) can be linked: shared shingles are at most
+    those that anyone shares, in all and group by group."""
+    rough = F.least(F.col("n") - F.col("alone"), F.col("n2") - F.col("alone2"))
+    fine = F.aggregate(F.zip_with("groups", "groups2", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda s, x: s + x)
+    return _enough(rough, percent) & _enough(fine, percent)
 
 
 def _pairs(a: str, b: str) -> list:
@@ -142,22 +154,41 @@ class _Verifier:
         self.make, self.schema = _sets(shingle, coordinates, seed)
         self.sets: DataFrame | None = None
 
-    def links(self, pairs: DataFrame) -> DataFrame:
-        nodes = pairs.select(F.explode(F.array("u", "v")).alias("cid")).distinct()
-        if self.sets is not None:
-            nodes = nodes.join(self.sets.select("cid"), "cid", "left_anti")
-        keys = scratch(self.classes.join(nodes, "cid", "left_semi").select("cid", "k1", "k2"), "near-keys")
+    def prepare(self, nodes: DataFrame) -> DataFrame:
+        """Makes the sets of nodes(cid) that aren't there yet; returns the sets of all nodes."""
+        fresh = nodes if self.sets is None else nodes.join(self.sets.select("cid"), "cid", "left_anti")
+        keys = self.classes.join(fresh, "cid", "left_semi").select("cid", "k1", "k2")
         texts = self.docs.select("k1", "k2", "text").join(keys, ["k1", "k2"]).select("cid", "text")
-        fresh = texts.mapInArrow(self.make, self.schema)
-        fresh = scratch(fresh.groupBy("cid").agg(F.first("shingles").alias("shingles")), "near-sets")
-        self.sets = fresh if self.sets is None else self.sets.unionByName(fresh)
-        a = self.sets.select(F.col("cid").alias("u"), F.col("shingles").alias("a"))
-        b = self.sets.select(F.col("cid").alias("v"), F.col("shingles").alias("b"))
+        made = texts.mapInArrow(self.make, self.schema)
+        made = scratch(made.groupBy("cid").agg(F.first("shingles").alias("shingles"), F.first("groups").alias("groups")), "near-sets")
+        self.sets = made if self.sets is None else self.sets.unionByName(made)
+        return self.sets.join(nodes, "cid", "left_semi")
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        sets = self.prepare(pairs.select(F.explode(F.array("u", "v")).alias("cid")).distinct())
+        a = sets.select(F.col("cid").alias("u"), F.col("shingles").alias("a"))
+        b = sets.select(F.col("cid").alias("v"), F.col("shingles").alias("b"))
         both = pairs.join(a, "u").join(b, "v").withColumn("both", F.size(F.array_intersect("a", "b")))
         return scratch(both.where(F.col("both") * 100 >= (F.size("a") + F.size("b") - F.col("both")) * self.percent).select("u", "v"), "near-links")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 32, rows: int = 4, seed: int = 8, small: int = 8, pivots: int = 8) -> DataFrame:
+def _crowded(members: DataFrame, verifier: _Verifier, percent: int) -> DataFrame:
+    """(band, key, cid, n, alone, groups) of large buckets. alone counts a set's shingles that no other set in these
+    buckets has, groups the other ones by group: they bound its similarity with any of them from above, exactly,
+    and a class that can't reach the percentage with any goes. Sums meet in aggregates, so shingles that all share
+    cost no more than others."""
+    sets = verifier.prepare(members.select("cid").distinct())
+    once = sets.select("cid", F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("c"), F.min("cid").alias("cid")).where("c = 1")
+    by_group = once.groupBy("cid", F.shiftrightunsigned("s", 64 - GROUP_BITS).cast("int").alias("g")).agg(F.count("*").alias("c"))
+    alone = by_group.groupBy("cid").agg(F.sum("c").alias("alone"), F.map_from_entries(F.collect_list(F.struct("g", "c"))).alias("own"))
+    told = sets.select("cid", "groups").join(alone, "cid", "left")
+    left = F.transform("groups", lambda x, g: x - F.coalesce(F.try_element_at(F.col("own"), g), F.lit(0)))
+    told = scratch(told.select("cid", F.coalesce("alone", F.lit(0)).cast("long").alias("alone"), F.when(F.col("own").isNull(), F.col("groups")).otherwise(left).alias("groups")), "near-alone")
+    held = members.select("band", "key", "cid", "n").join(told, "cid")
+    return scratch(held.where((F.col("n") - F.col("alone")) * 100 >= F.col("n") * percent).select("band", "key", "cid", "n", "alone", "groups"), "near-crowded")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 32, rows: int = 4, seed: int = 8, small: int = 8, pivots: int = 512) -> DataFrame:
     """docs(doc_id, text): doc_id, n_shingles, component_id, kept; documents with intersection over union of at
     least percent/100 are linked, a component's smallest id names it. With 32 bands of 4, a pair at 0.8 shares
     no band with a chance of 5e-8."""
@@ -166,41 +197,41 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     classes = signed.where("n > 0").groupBy("fp1", "fp2", "n").agg(F.min(F.struct("k1", "k2")).alias("k"), F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"))
     classes = scratch(classes.select(F.monotonically_increasing_id().alias("cid"), "fp1", "fp2", "n", "k.k1", "k.k2", "first_id", "bands"), "near-classes")
     rows_ = classes.select("cid", "n", F.posexplode("bands").alias("band", "key"))
-    buckets = rows_.groupBy("band", "key").agg(F.count("*").alias("size"), F.min("cid").alias("pivot")).where("size > 1")
+    buckets = rows_.groupBy("band", "key").agg(F.count("*").alias("size")).where("size > 1")
     members = scratch(rows_.join(buckets, ["band", "key"]), "near-members")
-    few, many = members.where(F.col("size") <= small), members.where(F.col("size") > small)
+    verifier = _Verifier(docs, classes, shingle, bands * rows, seed, percent)
+    few, many = members.where(F.col("size") <= small), _crowded(members.where(F.col("size") > small), verifier, percent)
     other = few.select("band", "key", F.col("cid").alias("cid2"), F.col("n").alias("n2"))
-    pairs = few.join(other, ["band", "key"]).where((F.col("cid") < F.col("cid2")) & _ratio("n", "n2", percent)).select(*_pairs("cid", "cid2"))
-    star = many.where("cid <> pivot").join(classes.select(F.col("cid").alias("pivot"), F.col("n").alias("n2")), "pivot").where(_ratio("n", "n2", percent))
+    pairs = few.join(other, ["band", "key"]).where((F.col("cid") < F.col("cid2")) & _enough(F.least("n", "n2"), percent)).select(*_pairs("cid", "cid2"))
+    centre = many.groupBy("band", "key").agg(F.min(F.struct("alone", "cid", "n", "groups")).alias("p")).select("band", "key", F.col("p.cid").alias("pivot"), F.col("p.n").alias("n2"), F.col("p.alone").alias("alone2"), F.col("p.groups").alias("groups2"))
+    star = many.join(centre, ["band", "key"]).where((F.col("cid") != F.col("pivot")) & _possible(percent))
     pairs = scratch(pairs.unionByName(star.select(*_pairs("cid", "pivot"))).distinct(), "near-pairs")
-    verifier = _Verifier(docs, classes, shingle, bands * rows, seed, percent)
     links = verifier.links(pairs)
     labels = connected_components(links)
-    used = many.select("band", "key", F.col("pivot").alias("cid")).distinct()
-    tried = pairs
+    used, tried = centre.select("band", "key", F.col("pivot").alias("cid")), pairs
     while True:
-        held = many.drop("pivot").join(labels.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-        mixed = held.groupBy("band", "key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b")
-        held = held.join(mixed.select("band", "key"), ["band", "key"])
-        fresh = held.join(used, ["band", "key", "cid"], "left_anti")
-        parts = held.groupBy("band", "key", "component").agg(F.count("*").alias("members"))
-        waiting = fresh.groupBy("band", "key", "component").agg(F.min(F.struct("cid", "n")).alias("next"))
+        rest = many.join(labels.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+        mixed = rest.groupBy("band", "key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b")
+        rest = rest.join(mixed.select("band", "key"), ["band", "key"])
+        fresh = rest.join(used, ["band", "key", "cid"], "left_anti")
+        parts = rest.groupBy("band", "key", "component").agg(F.count("*").alias("members"))
+        waiting = fresh.groupBy("band", "key", "component").agg(F.min(F.struct("alone", "cid", "n", "groups")).alias("next"))
         rank = Window.partitionBy("band", "key").orderBy(F.desc("members"), "component")
         # all components but the largest wait; those few pivots of a round that are of the smallest ones go first
         waiting = parts.join(waiting, ["band", "key", "component"], "left").withColumn("place", F.row_number().over(rank)).where("place > 1 and next is not null")
         turn = Window.partitionBy("band", "key").orderBy("members", "component")
         now = waiting.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= pivots)
-        now = scratch(now.select("band", "key", F.col("component").alias("of"), F.col("next.cid").alias("pivot"), F.col("next.n").alias("n2")), "near-pivots")
+        now = scratch(now.select("band", "key", F.col("component").alias("of"), F.col("next.cid").alias("pivot"), F.col("next.n").alias("n2"), F.col("next.alone").alias("alone2"), F.col("next.groups").alias("groups2")), "near-pivots")
         if not now.limit(1).count():
             break
-        more = held.join(now, ["band", "key"]).where((F.col("component") != F.col("of")) & _ratio("n", "n2", percent)).select(*_pairs("cid", "pivot")).distinct()
+        more = rest.join(now, ["band", "key"]).where((F.col("component") != F.col("of")) & _possible(percent)).select(*_pairs("cid", "pivot")).distinct()
         more = scratch(more.join(tried, ["u", "v"], "left_anti"), "near-pairs")
-        used = scratch(used.unionByName(now.select("band", "key", F.col("pivot").alias("cid"))).distinct(), "near-used")
-        tried = scratch(tried.unionByName(more), "near-tried")
+        used = used.unionByName(now.select("band", "key", F.col("pivot").alias("cid")))
+        tried = tried.unionByName(more)
         if more.limit(1).count():
             found = verifier.links(more)
             if found.limit(1).count():
-                links = scratch(links.unionByName(found), "near-links")
+                links = links.unionByName(found)
                 labels = connected_components(links)
     named = classes.join(labels.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
