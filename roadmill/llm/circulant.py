@@ -213,15 +213,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
         rest = many.join(labels.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
         mixed = rest.groupBy("band", "key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b")
         rest = rest.join(mixed.select("band", "key"), ["band", "key"])
-        fresh = rest.join(used, ["band", "key", "cid"], "left_anti")
-        parts = rest.groupBy("band", "key", "component").agg(F.count("*").alias("members"))
-        waiting = fresh.groupBy("band", "key", "component").agg(F.min(F.struct("alone", "cid", "n", "groups")).alias("next"))
+        # classes of all components but the largest are pivots, those of the smallest components first
         rank = Window.partitionBy("band", "key").orderBy(F.desc("members"), "component")
-        # all components but the largest wait; those few pivots of a round that are of the smallest ones go first
-        waiting = parts.join(waiting, ["band", "key", "component"], "left").withColumn("place", F.row_number().over(rank)).where("place > 1 and next is not null")
-        turn = Window.partitionBy("band", "key").orderBy("members", "component")
-        now = waiting.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= pivots)
-        now = scratch(now.select("band", "key", F.col("component").alias("of"), F.col("next.cid").alias("pivot"), F.col("next.n").alias("n2"), F.col("next.alone").alias("alone2"), F.col("next.groups").alias("groups2")), "near-pivots")
+        parts = rest.groupBy("band", "key", "component").agg(F.count("*").alias("members"))
+        lesser = parts.withColumn("place", F.row_number().over(rank)).where("place > 1").drop("place")
+        fresh = rest.join(lesser, ["band", "key", "component"]).join(used, ["band", "key", "cid"], "left_anti")
+        turn = Window.partitionBy("band", "key").orderBy("members", "component", "alone", "cid")
+        now = fresh.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= pivots)
+        now = scratch(now.select("band", "key", F.col("component").alias("of"), F.col("cid").alias("pivot"), F.col("n").alias("n2"), F.col("alone").alias("alone2"), F.col("groups").alias("groups2")), "near-pivots")
         if not now.limit(1).count():
             break
         more = rest.join(now, ["band", "key"]).where((F.col("component") != F.col("of")) & _possible(percent)).select(*_pairs("cid", "pivot")).distinct()
