@@ -6,8 +6,8 @@ exclusive or of a hash of each page's count, so a host's pages meet only in aggr
 class is valid if enough pages have it and the nearest template element above each of its tokens is in the class
 itself or in one other valid class, in which it nests. Valid classes make the host's template; what is left
 between their tokens are slots. A slot is dropped if an element above it is boilerplate by its name, if its text is the
-same on all pages of the host, or if it lies outside the template's content root: the `article` or `main` of a
-class, else the element below which most text that is no link lies. Hosts with too few pages use the template of all
+same on all pages of the host, or if it lies in a template element outside the content root: the `article` or `main` of
+a valid class, else the element below which most text that is no link lies, sought from class to nested class. Hosts with too few pages use the template of all
 pages together.
 
 Nulls and ties: null, empty and textless html give an empty text; a null url is a host of its own; repeated rows
@@ -190,7 +190,8 @@ ALL = "\0all"
 
 
 def classes_of(tokens: pd.DataFrame) -> dict[str, int]:
-    """Path to number of its equivalence class, valid classes only: outermost first, each nested in one other."""
+    """Path to number of its equivalence class, valid classes only: outermost first, each nested in one other. Tokens
+    that share a vector by chance, from several classes, make an invalid class and aren't the template's."""
     groups: dict[tuple[int, int], list[str]] = defaultdict(list)
     for path, pages, vector in zip(tokens["path"], tokens["pages"], tokens["vector"], strict=True):
         groups[int(pages), int(vector)].append(path)
@@ -205,8 +206,6 @@ def classes_of(tokens: pd.DataFrame) -> dict[str, int]:
                 parents.add(where.get(above, -1))
         if len(parents) <= 1:
             where.update(dict.fromkeys(members, k))
-        else:  # tokens that share a vector by chance, from several places: each place is a class of its own
-            where.update({path: 100_000 + 1000 * k + j for j, path in enumerate(sorted(members))})
     return where
 
 
@@ -214,21 +213,33 @@ def _keys_below(root: str, path: str) -> list[str]:
     return path[len(root) :].strip("/").split("/") if path != root else []
 
 
-def deduce(tokens: pd.DataFrame, n_pages: int) -> tuple[str, list[str]]:
-    """(content root, dropped slots) of the pages whose tokens these are."""
+def _above(path: str, known) -> str:
+    """The nearest known element above a path, or ''."""
+    path = path.rpartition("/")[0]
+    while path and path not in known:
+        path = path.rpartition("/")[0]
+    return path
+
+
+def deduce(tokens: pd.DataFrame, n_pages: int) -> tuple[str, list[str], list[str]]:
+    """(content root, dropped slots, outermost template elements beside the root) of the pages whose tokens these
+    are. The template is the tokens of valid classes; text sums count all tokens."""
     where = classes_of(tokens)
-    stats = {r.path: r for r in tokens.itertuples() if r.path in where}
-    clear = [p for p in stats if not any(_foreign(k) for k in p.split("/"))]
+    sizes = Counter(where.values())
+    every = {r.path: r for r in tokens.itertuples()}
+    stats = {p: s for p, s in every.items() if p in where}
+    lit = [p for p in every if not any(_foreign(k) for k in p.split("/"))]
+    clear = [p for p in lit if p in where]
     roots = [p for p in clear if p.rpartition("/")[2].split(".")[0] in ("article", "main")]
     inner = [p for p in roots if p.rpartition("/")[2].split(".")[0] == "article"] or roots
-    own = lambda top: sum(stats[p].chars - stats[p].links for p in clear if p == top or p.startswith(top + "/"))
+    own = lambda top: sum(every[p].chars - every[p].links for p in lit if p == top or p.startswith(top + "/"))
     if inner:
         # the outermost of the named elements that holds the most text
         root = min((p for p in inner if not any(q != p and p.startswith(q + "/") for q in inner)), key=lambda p: (-own(p), p))
     else:
-        root, total = "", sum(stats[p].chars - stats[p].links for p in clear)
-        while total:  # downwards as long as one child holds nearly all text
-            below = [p for p in clear if p.rpartition("/")[0] == root]
+        root, total = "", sum(every[p].chars - every[p].links for p in lit)
+        while total:  # downwards as long as one slot holds nearly all text: an element of the same class, or of a nested one of several tokens
+            below = [p for p in clear if _above(p, where) == root and stats[p].times == stats[p].pages and (not root or where[p] == where[root] or sizes[where[p]] > 1)]
             heavy = max(below, key=lambda p: (own(p), p), default=None)
             if heavy is None or heavy.rpartition("/")[2].split(".")[0] in HEADINGS | {"p"} or own(heavy) < 0.8 * total:
                 break
@@ -241,17 +252,19 @@ def deduce(tokens: pd.DataFrame, n_pages: int) -> tuple[str, list[str]]:
             dropped.append(path)  # the same text on every page is part of the template
         elif s.links > 0.8 * s.chars > 0 and below and below[-1].split(".")[0] == "li" and not inner:
             dropped.append(path)  # a list of links
-    return root, sorted(dropped)
+    over = lambda p: root.startswith(p + "/")
+    beside = [p for p in stats if root and p != root and not p.startswith(root + "/") and not over(p) and (not (up := _above(p, where)) or over(up))]
+    return root, sorted(dropped), sorted(beside)
 
 
 def _deduce_group(rows: pd.DataFrame) -> pd.DataFrame:
     n = int(rows["n_pages"].iloc[0])
-    root, dropped = deduce(rows[rows["path"] != ""], n)
-    return pd.DataFrame({"host": [rows["host"].iloc[0]], "n_pages": [n], "root": [root], "dropped": [dropped]})
+    root, dropped, beside = deduce(rows[rows["path"] != ""], n)
+    return pd.DataFrame({"host": [rows["host"].iloc[0]], "n_pages": [n], "root": [root], "dropped": [dropped], "beside": [beside]})
 
 
 def templates(pages: DataFrame, least_pages: int = 3, least_share: float = 0.1) -> DataFrame:
-    """pages(host, tie, html): (host, n_pages, root, dropped) of every host with enough pages, and of all pages
+    """pages(host, tie, html): (host, n_pages, root, dropped, beside) of every host with enough pages, and of all pages
     under the name ALL. A group has the paths that a tenth of its pages have, so it is bounded by the pages'
     own size."""
     rows = pages.select("host", "tie", "html").mapInArrow(_vectors, _STATS)
@@ -262,14 +275,15 @@ def templates(pages: DataFrame, least_pages: int = 3, least_share: float = 0.1)
     counts = tokens.where("path = ''").select("host", F.col("pages").alias("n_pages"))
     counts = counts.where((F.col("n_pages") >= least_pages) | (F.col("host") == ALL))
     frequent = tokens.join(counts, "host").where((F.col("pages") >= F.col("n_pages") * least_share) & ((F.col("pages") > 1) | (F.col("n_pages") < 3)))
-    return scratch(frequent.groupBy("host").applyInPandas(_deduce_group, "host string, n_pages long, root string, dropped array<string>"), "templates")
+    return scratch(frequent.groupBy("host").applyInPandas(_deduce_group, "host string, n_pages long, root string, dropped array<string>, beside array<string>"), "templates")
 
 
 # ---------------------------------------------------------------- extraction
 
 
-def extract(page: Page, root: str, dropped: set[str]) -> str:
-    """The text of the page's slots that the template keeps."""
+def extract(page: Page, root: str, dropped: set[str], beside: set[str]) -> str:
+    """The text of the page's slots that the template keeps. Outside an unnamed root, text goes if it is in an element
+    of the template; in an element that the template doesn't have it stays, being another layout's."""
     tag = root.rpartition("/")[2].split(".")[0]
     if root and root not in page.elements:  # another layout: the same element elsewhere, else all
         named = [p for p in page.elements if p.rpartition("/")[2].split(".")[0] in ("article", "main")]
@@ -277,9 +291,11 @@ def extract(page: Page, root: str, dropped: set[str]) -> str:
         tag = root.rpartition("/")[2].split(".")[0]
     out = []
     for path, text, _ in page.blocks:
-        if root and path != root and not path.startswith(root + "/"):
-            continue
         below = _keys_below(root, path)
+        if root and path != root and not path.startswith(root + "/"):
+            if tag in ("article", "main") or root.startswith(path + "/") or path in beside or _above(path, beside):
+                continue
+            below = path.split("/")
         marked = [k for k in below if _foreign(k)]
         if marked and tag == "article" and below[-1].split(".")[0] in HEADINGS and all(k.split(".")[0] == "header" for k in marked):
             marked = []  # an article's own title
@@ -288,11 +304,12 @@ def extract(page: Page, root: str, dropped: set[str]) -> str:
     return "\n".join(out)
 
 
-def _extracted(fallback: tuple[str, list[str]]):
+def _extracted(fallback: tuple[str, list[str], list[str]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, urls, roots, drops, sources in pieces(batch, "page_id", "url", "root", "dropped", "html"):
-                texts = [extract(Page(s or ""), *((fallback[0], set(fallback[1])) if r is None else (r, set(d or ())))) for r, d, s in zip(roots, drops, sources, strict=True)]
+            for ids, urls, roots, drops, besides, sources in pieces(batch, "page_id", "url", "root", "dropped", "beside", "html"):
+                found = [fallback if r is None else (r, d or (), b or ()) for r, d, b in zip(roots, drops, besides, strict=True)]
+                texts = [extract(Page(s or ""), r, set(d), set(b)) for (r, d, b), s in zip(found, sources, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(urls, pa.string()), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
     return run
@@ -305,6 +322,6 @@ def main_text(pages: DataFrame, least_pages: int = 3) -> DataFrame:
     keyed = pages.select("page_id", "url", host.alias("host"), F.xxhash64("page_id", "url").alias("tie"), "html")
     found = templates(keyed, least_pages)
     row = found.where(F.col("host") == ALL).first()
-    joined = keyed.join(found.where(F.col("host") != ALL).select("host", "root", "dropped"), "host", "left").select("page_id", "url", "root", "dropped", "html")
-    run = _extracted((row["root"], list(row["dropped"])) if row else ("", []))
+    joined = keyed.join(found.where(F.col("host") != ALL).select("host", "root", "dropped", "beside"), "host", "left").select("page_id", "url", "root", "dropped", "beside", "html")
+    run = _extracted((row["root"], list(row["dropped"]), list(row["beside"])) if row else ("", [], []))
     return joined.mapInArrow(run, "page_id long, url string, text string").withColumn("n_chars", F.char_length("text").cast("long"))

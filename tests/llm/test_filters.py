@@ -168,6 +168,20 @@ def test_classes_nest():
     assert len(set(where.values())) == 3
 
 
+def test_the_template_rests_on_the_vectors():
+    import pandas as pd
+
+    names = ["path", "pages", "times", "vector", "chars", "links", "low", "high"]
+    rows = [("html", 9, 9, 1, 0, 0, 0, 0), ("html/body", 9, 9, 1, 0, 0, 0, 0), ("html/body/div.side", 9, 9, 1, 50, 0, 1, 2), ("html/body/div.text", 9, 9, 1, 10, 0, 1, 2), ("html/body/div.text/p", 9, 30, 2, 900, 0, 1, 2), ("html/body/div.side/b", 9, 27, 3, 0, 0, 0, 0)]
+    assert template_html.deduce(pd.DataFrame(rows, columns=names), 9) == ("html/body/div.text", [], ["html/body/div.side"])
+    vectors = [1, 2, 1, 3, 1, 1]
+    shuffled = [(*r[:3], v, *r[4:]) for r, v in zip(rows, vectors, strict=True)]
+    assert template_html.deduce(pd.DataFrame(shuffled, columns=names), 9)[0] != "html/body/div.text"
+    # li and b share a vector but lie in two classes: an invalid class
+    mixed = pd.DataFrame([("a", 9, 1), ("a/ul", 9, 2), ("a/ul/li", 9, 4), ("a/dl", 9, 3), ("a/dl/b", 9, 4)], columns=["path", "pages", "vector"])
+    assert set(template_html.classes_of(mixed)) == {"a", "a/ul", "a/dl"}
+
+
 def test_names_of_boilerplate():
     assert [template_html.foreign(k) for k in ("div.ad", "div.shadow", "p.header-2", "section.comments", "div.adapter", "nav", "div.sidebar_left", "article")] == [True, False, True, True, False, True, True, False]
 
