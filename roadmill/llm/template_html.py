@@ -34,6 +34,7 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a
 _NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _PARTS = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=\d)")
 _SPACE = re.compile(r"\s+")
+_DIGITS = re.compile(r"[0-9]{3,}")
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr param".split())
 SILENT = frozenset("script style noscript template iframe svg canvas object textarea select title math audio video".split())
@@ -53,9 +54,13 @@ FOREIGN_NAMES = frozenset(
 
 
 def _key(tag: str, attributes: str) -> str:
+    """Tag, class, id and role names with long numbers as 0, so that a page's own number makes no path of its own.
+    An article or main has only the names that are boilerplate's: others (ids, categories) are the page's."""
     if not attributes or "=" not in attributes:
         return tag
-    names = sorted({x for m in _NAMES.finditer(attributes) for x in (m[2] or m[3] or m[4] or "").lower().split()})
+    names = sorted({_DIGITS.sub("0", x) for m in _NAMES.finditer(attributes) for x in (m[2] or m[3] or m[4] or "").lower().split()})
+    if tag in ("article", "main"):
+        names = [n for n in names if _foreign(f"{tag}.{n}")]
     return ".".join([tag, *(n.replace("/", "_") for n in names)])
 
 
@@ -151,12 +156,13 @@ class Page:
 
 # ---------------------------------------------------------------- occurrence vectors
 
-_STATS = "host string, path string, pages long, times long, vector long, chars long, links long, low long, high long"
+_STATS = "host string, path string, pages long, times long, vector long, chars long, links long, low long, high long, below long"
 
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Summed per batch: for each host and path the pages that have it, how often, the joined page hashes, and
-    characters, characters in links, and the least and greatest hash of its texts. The path '' counts the pages."""
+    characters, characters in links, the least and greatest hash of its texts, and the characters that are no link's of
+    it and all below it, by no boilerplate's name. The path '' counts the pages."""
     names = [x.split()[0] for x in _STATS.split(", ")]
     for batch in batches:
         sums: dict[tuple[str, str], list[int]] = {}
@@ -164,24 +170,31 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for host, i, source in zip(hosts, ids, sources, strict=True):
                 page = Page(source or "")
                 texts: dict[str, list] = defaultdict(list)
+                under: Counter[str] = Counter()
                 for path, text, links in page.blocks:
                     texts[path].append((text, links))
+                    if links < len(text) and not any(_foreign(k) for k in path.split("/")):
+                        up = path
+                        while up:
+                            under[up] += len(text) - links
+                            up = up.rpartition("/")[0]
+                        under[""] += len(text) - links
                 for path, n in [("", 1), *page.elements.items()]:
                     own = texts.get(path, ())
                     mark = xxhash.xxh64_intdigest(f"{i}:{n}") >> 1
                     told = xxhash.xxh64_intdigest("\n".join(t for t, _ in own)) >> 1
-                    new = [1, n, mark, sum(len(t) for t, _ in own), sum(k for _, k in own), told, told]
+                    new = [1, n, mark, sum(len(t) for t, _ in own), sum(k for _, k in own), told, told, under[path]]
                     if (old := sums.get((host, path))) is None:
                         sums[host, path] = new
                     else:
-                        sums[host, path] = [old[0] + 1, old[1] + n, old[2] ^ mark, old[3] + new[3], old[4] + new[4], min(old[5], told), max(old[6], told)]
+                        sums[host, path] = [old[0] + 1, old[1] + n, old[2] ^ mark, old[3] + new[3], old[4] + new[4], min(old[5], told), max(old[6], told), old[7] + under[path]]
         if sums:
             columns = [[h for h, _ in sums], [p for _, p in sums], *(list(c) for c in zip(*sums.values(), strict=True))]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if k < 2 else pa.int64()) for k, c in enumerate(columns)], names=names)
 
 
 def _merged(rows: DataFrame, *by: str) -> DataFrame:
-    return rows.groupBy(*by).agg(*(F.sum(c).alias(c) for c in ("pages", "times", "chars", "links")), F.bit_xor("vector").alias("vector"), F.min("low").alias("low"), F.max("high").alias("high"))
+    return rows.groupBy(*by).agg(*(F.sum(c).alias(c) for c in ("pages", "times", "chars", "links", "below")), F.bit_xor("vector").alias("vector"), F.min("low").alias("low"), F.max("high").alias("high"))
 
 
 # ---------------------------------------------------------------- templates
@@ -223,21 +236,20 @@ def _above(path: str, known) -> str:
 
 def deduce(tokens: pd.DataFrame, n_pages: int) -> tuple[str, list[str], list[str]]:
     """(content root, dropped slots, outermost template elements beside the root) of the pages whose tokens these
-    are. The template is the tokens of valid classes; text sums count all tokens."""
-    where = classes_of(tokens)
+    are. The template is the tokens of valid classes. Text sums were made page by page, so they count tokens that
+    aren't here too."""
+    where = classes_of(tokens[tokens["path"] != ""])
     sizes = Counter(where.values())
-    every = {r.path: r for r in tokens.itertuples()}
-    stats = {p: s for p, s in every.items() if p in where}
-    lit = [p for p in every if not any(_foreign(k) for k in p.split("/"))]
-    clear = [p for p in lit if p in where]
+    stats = {r.path: r for r in tokens.itertuples() if r.path in where}
+    clear = [p for p in stats if not any(_foreign(k) for k in p.split("/"))]
     roots = [p for p in clear if p.rpartition("/")[2].split(".")[0] in ("article", "main")]
     inner = [p for p in roots if p.rpartition("/")[2].split(".")[0] == "article"] or roots
-    own = lambda top: sum(every[p].chars - every[p].links for p in lit if p == top or p.startswith(top + "/"))
+    own = lambda top: stats[top].below
     if inner:
         # the outermost of the named elements that holds the most text
         root = min((p for p in inner if not any(q != p and p.startswith(q + "/") for q in inner)), key=lambda p: (-own(p), p))
     else:
-        root, total = "", sum(every[p].chars - every[p].links for p in lit)
+        root, total = "", sum(tokens.loc[tokens["path"] == "", "below"])
         while total:  # downwards as long as one slot holds nearly all text: an element of the same class, or of a nested one of several tokens
             below = [p for p in clear if _above(p, where) == root and stats[p].times == stats[p].pages and (not root or where[p] == where[root] or sizes[where[p]] > 1)]
             heavy = max(below, key=lambda p: (own(p), p), default=None)
@@ -259,14 +271,15 @@ def deduce(tokens: pd.DataFrame, n_pages: int) -> tuple[str, list[str], list[str
 
 def _deduce_group(rows: pd.DataFrame) -> pd.DataFrame:
     n = int(rows["n_pages"].iloc[0])
-    root, dropped, beside = deduce(rows[rows["path"] != ""], n)
+    root, dropped, beside = deduce(rows, n)
     return pd.DataFrame({"host": [rows["host"].iloc[0]], "n_pages": [n], "root": [root], "dropped": [dropped], "beside": [beside]})
 
 
 def templates(pages: DataFrame, least_pages: int = 3, least_share: float = 0.1) -> DataFrame:
     """pages(host, tie, html): (host, n_pages, root, dropped, beside) of every host with enough pages, and of all pages
     under the name ALL. A group has the paths that a tenth of its pages have, so it is bounded by the pages'
-    own size."""
+    own size; text of other paths is in the sums of those above them, and `extract` keeps it unless a template element
+    beside the root holds it."""
     rows = pages.select("host", "tie", "html").mapInArrow(_vectors, _STATS)
     by_host = scratch(_merged(rows, "host", "path"), "template-tokens")
     whole = _merged(by_host, "path").withColumn("host", F.lit(ALL)).select(*by_host.columns)

@@ -171,10 +171,10 @@ def test_classes_nest():
 def test_the_template_rests_on_the_vectors():
     import pandas as pd
 
-    names = ["path", "pages", "times", "vector", "chars", "links", "low", "high"]
-    rows = [("html", 9, 9, 1, 0, 0, 0, 0), ("html/body", 9, 9, 1, 0, 0, 0, 0), ("html/body/div.side", 9, 9, 1, 50, 0, 1, 2), ("html/body/div.text", 9, 9, 1, 10, 0, 1, 2), ("html/body/div.text/p", 9, 30, 2, 900, 0, 1, 2), ("html/body/div.side/b", 9, 27, 3, 0, 0, 0, 0)]
+    names = ["path", "pages", "times", "vector", "chars", "links", "low", "high", "below"]
+    rows = [("", 9, 9, 9, 0, 0, 0, 0, 960), ("html", 9, 9, 1, 0, 0, 0, 0, 960), ("html/body", 9, 9, 1, 0, 0, 0, 0, 960), ("html/body/div.side", 9, 9, 1, 50, 0, 1, 2, 50), ("html/body/div.text", 9, 9, 1, 10, 0, 1, 2, 910), ("html/body/div.text/p", 9, 30, 2, 900, 0, 1, 2, 900), ("html/body/div.side/b", 9, 27, 3, 0, 0, 0, 0, 0)]
     assert template_html.deduce(pd.DataFrame(rows, columns=names), 9) == ("html/body/div.text", [], ["html/body/div.side"])
-    vectors = [1, 2, 1, 3, 1, 1]
+    vectors = [9, 1, 2, 1, 3, 1, 1]
     shuffled = [(*r[:3], v, *r[4:]) for r, v in zip(rows, vectors, strict=True)]
     assert template_html.deduce(pd.DataFrame(shuffled, columns=names), 9)[0] != "html/body/div.text"
     # li and b share a vector but lie in two classes: an invalid class
@@ -182,6 +182,21 @@ def test_the_template_rests_on_the_vectors():
     assert set(template_html.classes_of(mixed)) == {"a", "a/ul", "a/dl"}
 
 
+def test_text_in_elements_of_one_page_stays(spark):
+    hero = "<div class='page'><div class='hero'>The site of all sites</div>{}</div>"
+    numbered = [page(hero.format(f"<article id='post-{k}'><p>Own story {k}</p></article>")) for k in range(50)]
+    got = texts(spark, numbered)
+    assert got == {k: f"Own story {k}" for k in range(50)}
+    slugs = "abcdefghijklmnopqrstuvwxyz"
+    named = [page(hero.format(f"<div id='{c}-story'><p>Own story of {c}, with more words than the other</p></div>")) for c in slugs]
+    assert texts(spark, named) == {k: f"Own story of {c}, with more words than the other" for k, c in enumerate(slugs)}
+    # a layout that one page in twenty has, with an element that most pages keep their text in
+    usual = [page(f"<div class='top'>T{k}</div><div class='text'><h2>Head {k}</h2><p>Many words of the page of number {k}</p></div>") for k in range(38)]
+    rare = [page(f"<div class='top'>T</div><div class='text'><h2>See below {k}</h2></div><div class='tale'><p>The tale {k}</p></div>") for k in range(2)]
+    got = texts(spark, usual + rare)
+    assert got[38] == "See below 0\nThe tale 0" and got[3] == "Head 3\nMany words of the page of number 3"
+
+
 def test_names_of_boilerplate():
     assert [template_html.foreign(k) for k in ("div.ad", "div.shadow", "p.header-2", "section.comments", "div.adapter", "nav", "div.sidebar_left", "article")] == [True, False, True, True, False, True, True, False]
 
