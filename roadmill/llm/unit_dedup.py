@@ -1,7 +1,7 @@
 """Substring deduplication by hashing lines and sentences.
 
 Every line, and every sentence of a line that has several, is a unit: its text with white space normalised has a
-128-bit digest. Digests are grouped globally; the earliest occurrence, by (doc_id, place), stays, and later ones
+128-bit digest. Digests are grouped globally, lines of one sentence with sentences of longer lines; the earliest occurrence, by (doc_id, place), stays, and later ones
 are repeats. A repeated line of at least `line_words` words goes as a whole. Elsewhere a run of neighbouring
 repeated sentences goes if it has at least `run_words` words, so that short common sentences stay where they
 are, while a passage pasted into other text is found by the sentences inside it. Spans are offsets of the
@@ -69,13 +69,14 @@ def repeated_spans(docs: DataFrame, line_words: int = 5, run_words: int = 20) ->
     keyed = docs.select(F.monotonically_increasing_id().alias("row"), F.coalesce(F.col("doc_id"), F.lit(LONG_MAX)).cast("long").alias("id"), "text")
     cut = scratch(keyed.mapInArrow(_cut, "row long, id long, kind byte, line int, start int, end int, words int, h1 long, h2 long"), "unit-rows")
     place = F.struct("id", "row", "start")
-    groups = cut.groupBy("h1", "h2", "kind").agg(F.count("*").alias("n"), F.min("id").alias("first_id")).where("n > 1")
-    groups = scratch(groups.select("h1", "h2", "kind", "first_id"), "unit-groups")
-    shared = scratch(cut.join(groups, ["h1", "h2", "kind"]), "unit-shared")
+    # by digest alone: a line of one sentence meets the same sentence inside a longer line
+    groups = cut.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("id").alias("first_id")).where("n > 1")
+    groups = scratch(groups.select("h1", "h2", "first_id"), "unit-groups")
+    shared = scratch(cut.join(groups, ["h1", "h2"]), "unit-shared")
     # the earliest among equal ids is settled on the few rows that carry the group's first id
-    first = shared.where("id = first_id").groupBy("h1", "h2", "kind").agg(F.min(place).alias("first"))
+    first = shared.where("id = first_id").groupBy("h1", "h2").agg(F.min(place).alias("first"))
     repeats = shared.where("id <> first_id").drop("h1", "h2").unionByName(
-        shared.where("id = first_id").join(first, ["h1", "h2", "kind"]).where(place != F.col("first")).drop("h1", "h2", "first")
+        shared.where("id = first_id").join(first, ["h1", "h2"]).where(place != F.col("first")).drop("h1", "h2", "first")
     )
     repeats = scratch(repeats, "unit-repeats")
     lines = repeats.where((F.col("kind") == LINE) & (F.col("words") >= line_words))

@@ -205,6 +205,14 @@ def test_repeated_spans_equal_brute_force(spark):
     assert {r[0] for r in got} >= {5, 10, 15, 20, 25}, "the passage is found wherever it was pasted"
 
 
+def test_a_line_of_one_sentence_meets_the_sentence_inside_a_line(spark):
+    licence = words(random.Random(8), 60) + "."
+    rows = [(1, licence), (2, f"Before it. {licence} After it."), (3, f"x\n{licence}\ny"), (5, "Some day. Nine words of a line that comes later."), (6, "Nine words of a line that comes later.")]
+    got = sorted(tuple(r) for r in unit_dedup.repeated_spans(frame(spark, rows)).collect())
+    n = len(licence)
+    assert got == [(2, 11, 11 + n, 60, 1, 1), (3, 2, 2 + n, 60, 1, 1), (6, 0, 38, 8, 1, 5)]
+
+
 def test_cut_spans_are_the_repeats():
     assert unit_dedup.without_spans("one two three", [(4, 8)]) == "one three"
     assert unit_dedup.without_spans("abc", []) == "abc"
