@@ -37,7 +37,7 @@ _SPACE = re.compile(r"\s+")
 _DIGITS = re.compile(r"[0-9]{3,}")
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr param".split())
-SILENT = frozenset("script style noscript template iframe svg canvas object textarea select title math audio video".split())
+SILENT = frozenset("script style noscript template iframe svg canvas object textarea select title audio video".split())
 BLOCK = frozenset(
     "html head body address article aside blockquote center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 "
     "h4 h5 h6 header hr li main nav ol p pre section summary table caption thead tbody tfoot tr td th ul menu".split()
@@ -55,10 +55,11 @@ FOREIGN_NAMES = frozenset(
 
 def _key(tag: str, attributes: str) -> str:
     """Tag, class, id and role names with long numbers as 0, so that a page's own number makes no path of its own.
-    An article or main has only the names that are boilerplate's: others (ids, categories) are the page's."""
+    Ids are marked by
+    a number sign. An article or main has only the names that are boilerplate's: others (ids, categories) are the page's."""
     if not attributes or "=" not in attributes:
         return tag
-    names = sorted({_DIGITS.sub("0", x) for m in _NAMES.finditer(attributes) for x in (m[2] or m[3] or m[4] or "").lower().split()})
+    names = sorted({"#" * (m[1].lower() == "id") + _DIGITS.sub("0", x) for m in _NAMES.finditer(attributes) for x in (m[2] or m[3] or m[4] or "").lower().split()})
     if tag in ("article", "main"):
         names = [n for n in names if _foreign(f"{tag}.{n}")]
     return ".".join([tag, *(n.replace("/", "_") for n in names)])
@@ -70,6 +71,28 @@ def foreign(key: str) -> bool:
     return tag in FOREIGN_TAGS or any(w in FOREIGN_NAMES for n in names for w in _PARTS.split(n))
 
 
+def surely_foreign(key: str) -> bool:
+    """Whether an element inside the content is boilerplate without further evidence: its tag, or a whole name, is.
+    Headings aren't: their names are often made from their words."""
+    tag, *names = key.split(".")
+    return tag not in HEADINGS and (tag in FOREIGN_TAGS or any(n.lstrip("#") in FOREIGN_NAMES for n in names))
+
+
+def perhaps_foreign(key: str) -> bool:
+    """Whether a word of its class or role says so: it is if the template has the element. An id may be a title's."""
+    tag, *names = key.split(".")
+    return tag not in HEADINGS and any(w in FOREIGN_NAMES for n in names if n[:1] != "#" for w in _PARTS.split(n))
+
+
+def _named(key: str) -> bool:
+    return key.split(".")[0] not in HEADINGS and _foreign(key)
+
+
+def _whole(root: str) -> bool:
+    """Whether a root is all of a page, where ids of boilerplate count too if the template has them."""
+    return root.rpartition("/")[2].split(".")[0] in ("", "html", "body")
+
+
 _foreign_cache: dict[str, bool] = {}
 
 
@@ -235,7 +258,8 @@ def _above(path: str, known) -> str:
 
 
 def deduce(tokens: pd.DataFrame, n_pages: int) -> tuple[str, list[str], list[str]]:
-    """(content root, dropped slots, outermost template elements beside the root) of the pages whose tokens these
+    """(content root, dropped slots, outermost template elements beside the root and those in it with a word of
+    boilerplate in their names) of the pages whose tokens these
     are. The template is the tokens of valid classes. Text sums were made page by page, so they count tokens that
     aren't here too."""
     where = classes_of(tokens[tokens["path"] != ""])
@@ -266,6 +290,8 @@ def deduce(tokens: pd.DataFrame, n_pages: int) -> tuple[str, list[str], list[str
             dropped.append(path)  # a list of links
     over = lambda p: root.startswith(p + "/")
     beside = [p for p in stats if root and p != root and not p.startswith(root + "/") and not over(p) and (not (up := _above(p, where)) or over(up))]
+    # elements inside the root that the template confirms to be what a word of their names says
+    beside += [p for p in stats if (p.startswith(root + "/") or not root) and (perhaps_foreign if not _whole(root) else _named)(p.rpartition("/")[2])]
     return root, sorted(dropped), sorted(beside)
 
 
@@ -309,7 +335,12 @@ def extract(page: Page, root: str, dropped: set[str], beside: set[str]) -> str:
             if tag in ("article", "main") or root.startswith(path + "/") or path in beside or _above(path, beside):
                 continue
             below = path.split("/")
-        marked = [k for k in below if _foreign(k)]
+        loose = _whole(root) or not below or len(below) == path.count("/") + 1
+        marked, at = [], path[: len(path) - len("/".join(below))].rstrip("/")
+        for k in below:
+            at = f"{at}/{k}" if at else k
+            if _foreign(k) and (surely_foreign(k) or at in beside or (loose and perhaps_foreign(k))):
+                marked.append(k)
         if marked and tag == "article" and below[-1].split(".")[0] in HEADINGS and all(k.split(".")[0] == "header" for k in marked):
             marked = []  # an article's own title
         if not marked and path not in dropped:

@@ -197,6 +197,16 @@ def test_text_in_elements_of_one_page_stays(spark):
     assert got[38] == "See below 0\nThe tale 0" and got[3] == "Head 3\nMany words of the page of number 3"
 
 
+def test_names_made_from_titles_stay(spark):
+    body = "<article><h2 id='related-work'>Related work {k}</h2><p>One {k} <math><mi>x</mi><mo>=</mo><mn>{k}</mn></math> more</p><section id='legal-history'><p>Law {k}</p></section><section id='comments-on-the-theory'><h3 id='search-algorithms'>Search</h3><p>Theory {k}</p></section><div class='share-box'>Share it</div><section id='comments'><p>Nice</p></section></article>"
+    rows = [page(body.format(k=k)) for k in range(30)] + [page("<article><p>Own</p><div class='legal-history'><p>Once only</p></div></article>")]
+    got = texts(spark, rows)
+    assert got == {k: f"Related work {k}\nOne {k} x={k} more\nLaw {k}\nSearch\nTheory {k}" for k in range(30)} | {30: "Own\nOnce only"}
+    plain = "<div id='cookie-notice'>We use cookies {k}</div><div class='site-footer'>Foot {k}</div><h2 id='related-work'>Head {k}</h2><p>Some words {k}</p>"
+    rows = [page(plain.format(k=k) + ("<section id='legal-history'><p>Law</p></section>" if k == 7 else "")) for k in range(30)]
+    assert texts(spark, rows) == {k: f"Head {k}\nSome words {k}" + "\nLaw" * (k == 7) for k in range(30)}
+
+
 def test_names_of_boilerplate():
     assert [template_html.foreign(k) for k in ("div.ad", "div.shadow", "p.header-2", "section.comments", "div.adapter", "nav", "div.sidebar_left", "article")] == [True, False, True, True, False, True, True, False]
 
