@@ -26,6 +26,7 @@ from .common import LONG_MAX, pieces, scratch
 _LINE = re.compile(r"[^\n]+")
 #: A sentence ends with stops before white space or the line's end.
 _SENTENCE = re.compile(r"[^.!?]*(?:[.!?]+(?!\s|\Z)[^.!?]+)*[.!?]*\s*")
+_WORD = re.compile(r"\S+")
 LINE, SENTENCE = 0, 1
 
 
@@ -46,47 +47,137 @@ def units(text: str) -> Iterator[tuple[int, int, int, int, str]]:
             yield from found
 
 
-_FIELDS = [("row", pa.int64()), ("id", pa.int64()), ("kind", pa.int8()), ("line", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("words", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64())]
+_FIELDS = [("row", pa.int64()), ("id", pa.int64()), ("kind", pa.int8()), ("line", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("words", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64()), ("spot", pa.int64())]
+_MOST = 2**16 - 1
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Units with digests. spot is the number of a sentence in its text and, in 16 bits each, the words of the one
+    before and of the one after it; a line of one sentence has its sentence's, other lines none."""
     schema = pa.schema(_FIELDS)
     for batch in batches:
         for rows, ids, texts in pieces(batch, "row", "id", "text"):
             out: list[list] = [[] for _ in _FIELDS]
             for row, i, text in zip(rows, ids, texts, strict=True):
-                for kind, line, start, end, norm in units(text or ""):
+                found = list(units(text or ""))
+                spots = dict.fromkeys(range(len(found)))
+                told = [k for k in spots if found[k][0] == SENTENCE or k + 1 == len(found) or found[k + 1][0] == LINE]
+                sizes = [0, *(min(found[k][4].count(" ") + 1, _MOST) for k in told), 0]
+                for seq, k in enumerate(told):
+                    spots[k] = seq << 32 | sizes[seq] << 16 | sizes[seq + 2]
+                for k, (kind, line, start, end, norm) in enumerate(found):
                     d = xxhash.xxh128_intdigest(norm.encode("utf-8", "surrogatepass"))
-                    for to, x in zip(out, (row, i, kind, line, start, end, norm.count(" ") + 1, (d >> 64) - 2**63, (d & (2**64 - 1)) - 2**63), strict=True):
+                    for to, x in zip(out, (row, i, kind, line, start, end, norm.count(" ") + 1, (d >> 64) - 2**63, (d & (2**64 - 1)) - 2**63, spots[k]), strict=True):
                         to.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, (_, t) in zip(out, _FIELDS, strict=True)], schema=schema)
 
 
-def repeated_spans(docs: DataFrame, line_words: int = 5, run_words: int = 20) -> DataFrame:
+def _picked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sentences of texts whose numbers are wanted."""
+    for batch in batches:
+        for rows, texts, wanted in pieces(batch, "row", "text", "wanted"):
+            out: list[tuple] = []
+            for row, text, seqs in zip(rows, texts, wanted, strict=True):
+                found, want, seq = list(units(text or "")), set(seqs), 0
+                for k, (kind, line, start, end, _) in enumerate(found):
+                    if kind == SENTENCE or k + 1 == len(found) or found[k + 1][0] == LINE:
+                        if seq in want:
+                            out.append((row, seq, line, start, text[start:end]))
+                        seq += 1
+            columns = list(zip(*out, strict=True)) or [()] * 5
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["row", "seq", "line", "start", "text"])
+
+
+def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many words of a sentence agree with another's, from the end (left edges) or from the start, and where the
+    sentence's words start and end."""
+    for batch in batches:
+        for rows, runs, seqs, left, starts, gone, mine, theirs in pieces(batch, "row", "run", "seq", "left", "start", "gone", "mine", "theirs"):
+            counts, froms, tos = [], [], []
+            for is_left, start, a, b in zip(left, starts, mine, theirs, strict=True):
+                places = [m.span() for m in _WORD.finditer(a)]
+                pairs = zip(reversed(a.split()), reversed(b.split())) if is_left else zip(a.split(), b.split())
+                k = 0
+                for x, y in pairs:
+                    if x != y:
+                        break
+                    k += 1
+                counts.append(k)
+                froms.append([start + x for x, _ in places])
+                tos.append([start + x for _, x in places])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows, pa.int64()), pa.array(runs, pa.int64()), pa.array(seqs, pa.int32()), pa.array(left, pa.bool_()), pa.array(gone, pa.bool_()), pa.array(counts, pa.int32()), pa.array(froms, pa.list_(pa.int32())), pa.array(tos, pa.list_(pa.int32()))],
+                names=["row", "run", "seq", "left", "gone", "agree", "froms", "tos"],
+            )
+
+
+def _stretched(runs: DataFrame, first: DataFrame, texts: DataFrame, lines: DataFrame, run_words: int) -> DataFrame:
+    """runs with start and end moved outwards as far as the words around them are those around the earliest occurrence
+    of their outermost sentences; `total` counts these words too where a removed line has them. Only the next sentence
+    matters: one that agrees as a whole is a repeat itself, and in the run. So runs that have too few words with both
+    next sentences in full are left out before texts are read."""
+    seq = lambda c: F.shiftright(c, 32).cast("int")
+    most = F.col("words") + F.shiftright("head.spot", 16).bitwiseAND(_MOST) + F.col("tail.spot").bitwiseAND(_MOST)
+    runs = scratch(runs.where(most >= min(run_words, _MOST)), "unit-runs")
+    edges = [runs.select("row", "run", (seq(f"{at}.spot") + by).alias("seq"), F.lit(by < 0).alias("left"), f"{at}.h1", f"{at}.h2") for at, by in (("head", -1), ("tail", 1))]
+    edges = edges[0].unionByName(edges[1]).join(first.select("h1", "h2", F.col("first.row").alias("row1"), seq("first.spot").alias("seq1")), ["h1", "h2"])
+    edges = scratch(edges.select("row", "run", "seq", "left", "row1", (F.col("seq1") + F.when(F.col("left"), -1).otherwise(1)).alias("seq1")), "unit-edges")
+    wanted = edges.select("row", "seq").unionByName(edges.select(F.col("row1").alias("row"), F.col("seq1").alias("seq"))).groupBy("row").agg(F.collect_set("seq").alias("wanted"))
+    near = scratch(texts.join(wanted, "row").mapInArrow(_picked, "row long, seq int, line int, start int, text string"), "unit-near")
+    mine = near.join(lines.select("row", "line", F.lit(True).alias("gone")), ["row", "line"], "left").select("row", "seq", "start", F.coalesce("gone", F.lit(False)).alias("gone"), F.col("text").alias("mine"))
+    theirs = near.select(F.col("row").alias("row1"), F.col("seq").alias("seq1"), F.col("text").alias("theirs"))
+    both = edges.join(mine, ["row", "seq"]).join(theirs, ["row1", "seq1"]).select("row", "run", "seq", "left", "start", "gone", "mine", "theirs")
+    found = both.mapInArrow(_agreeing, "row long, run long, seq int, left boolean, gone boolean, agree int, froms array<int>, tos array<int>").where("agree > 0")
+    # of a sentence between two runs, words that the first one takes aren't the second one's
+    taken = F.coalesce(F.max(F.when(~F.col("left"), F.col("agree"))).over(Window.partitionBy("row", "seq")), F.lit(0))
+    found = found.withColumn("agree", F.when(F.col("left"), F.least("agree", F.size("froms") - taken)).otherwise(F.col("agree"))).where("agree > 0")
+    moved = found.groupBy("row", "run").agg(
+        F.sum("agree").alias("more"), F.coalesce(F.sum(F.when(~F.col("gone"), F.col("agree"))), F.lit(0)).alias("own"),
+        F.min(F.when(F.col("left") & ~F.col("gone"), F.element_at("froms", F.size("froms") - F.col("agree") + 1))).alias("from"),
+        F.max(F.when(~F.col("left") & ~F.col("gone"), F.element_at("tos", F.col("agree")))).alias("to"),
+    )
+    return runs.join(moved, ["row", "run"], "left").withColumns({
+        "start": F.coalesce("from", "start"), "end": F.coalesce("to", "end"),
+        "total": F.col("words") + F.coalesce("more", F.lit(0)), "words": F.col("words") + F.coalesce("own", F.lit(0)),
+    })
+
+
+def repeated_spans(docs: DataFrame, line_words: int = 5, run_words: int = 20, stretch: bool = False) -> DataFrame:
     """docs(doc_id, text): a row per removed span: doc_id, start_char, end_char, n_words, n_units, keep_doc_id (of
     the earliest occurrence of the span's first unit). Groups are summed before the shuffle and joined back,
-    so a line that a third of all documents share is no task of its own."""
+    so a line that a third of all documents share is no task of its own. With `stretch`, runs go on over white space of
+    any length, and are stretched over the words on both sides that their earliest occurrence has too."""
     keyed = docs.select(F.monotonically_increasing_id().alias("row"), F.coalesce(F.col("doc_id"), F.lit(LONG_MAX)).cast("long").alias("id"), "text")
-    cut = scratch(keyed.mapInArrow(_cut, "row long, id long, kind byte, line int, start int, end int, words int, h1 long, h2 long"), "unit-rows")
-    place = F.struct("id", "row", "start")
+    if stretch:
+        keyed = scratch(keyed, "unit-texts")
+    cut = scratch(keyed.mapInArrow(_cut, "row long, id long, kind byte, line int, start int, end int, words int, h1 long, h2 long, spot long"), "unit-rows")
+    place = F.struct("id", "row", "start", "spot")
     # by digest alone: a line of one sentence meets the same sentence inside a longer line
     groups = cut.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("id").alias("first_id")).where("n > 1")
     groups = scratch(groups.select("h1", "h2", "first_id"), "unit-groups")
     shared = scratch(cut.join(groups, ["h1", "h2"]), "unit-shared")
     # the earliest among equal ids is settled on the few rows that carry the group's first id
-    first = shared.where("id = first_id").groupBy("h1", "h2").agg(F.min(place).alias("first"))
-    repeats = shared.where("id <> first_id").drop("h1", "h2").unionByName(
-        shared.where("id = first_id").join(first, ["h1", "h2"]).where(place != F.col("first")).drop("h1", "h2", "first")
-    )
+    first = scratch(shared.where("id = first_id").groupBy("h1", "h2").agg(F.min(place).alias("first")), "unit-first")
+    repeats = shared.where("id <> first_id").unionByName(shared.where("id = first_id").join(first, ["h1", "h2"]).where(place != F.col("first")).drop("first"))
+    # digests are kept where a run can end
+    repeats = repeats.withColumns({h: F.when(F.lit(stretch) & ((F.col("kind") == SENTENCE) | (F.col("words") < line_words)), F.col(h)) for h in ("h1", "h2")})
     repeats = scratch(repeats, "unit-repeats")
     lines = repeats.where((F.col("kind") == LINE) & (F.col("words") >= line_words))
     sentences = repeats.where(F.col("kind") == SENTENCE).join(lines.select("row", "line"), ["row", "line"], "left_anti")
-    # neighbouring sentences of a line are at most a space apart
-    by = Window.partitionBy("row", "line").orderBy("start")
-    runs = sentences.withColumn("new", F.coalesce((F.col("start") - F.lag("end").over(by) > 2).cast("int"), F.lit(1))).withColumn("run", F.sum("new").over(by))
-    runs = runs.groupBy("row", "id", "line", "run").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"), F.count("*").alias("units"), F.min(F.struct("start", "first_id")).alias("head")
-    ).where(F.col("words") >= run_words)
+    if stretch:
+        short = repeats.where((F.col("kind") == LINE) & (F.col("words") < line_words) & F.col("spot").isNotNull())
+        sentences, by = sentences.unionByName(short.select(*sentences.columns)), Window.partitionBy("row").orderBy("spot")
+        new = F.shiftright("spot", 32) - F.lag(F.shiftright("spot", 32)).over(by) > 1
+    else:  # neighbouring sentences of a line are at most a space apart
+        by = Window.partitionBy("row", "line").orderBy("start")
+        new = F.col("start") - F.lag("end").over(by) > 2
+    runs = sentences.withColumn("new", F.coalesce(new.cast("int"), F.lit(1))).withColumn("run", F.sum("new").over(by))
+    runs = runs.groupBy("row", "id", *([] if stretch else ["line"]), "run").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"), F.count("*").alias("units"),
+        F.min(F.struct("start", "first_id", "spot", "h1", "h2")).alias("head"), F.max(F.struct("start", "spot", "h1", "h2")).alias("tail"),
+    )
+    runs = _stretched(runs, first, keyed.select("row", "text"), lines, run_words).where(F.col("total") >= run_words) if stretch else runs.where(F.col("words") >= run_words)
     spans = lines.select("id", "start", "end", F.col("words").cast("long").alias("words"), F.lit(1).cast("long").alias("units"), "first_id").unionByName(
         runs.select("id", "start", "end", "words", "units", F.col("head.first_id").alias("first_id"))
     )

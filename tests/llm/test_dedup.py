@@ -213,6 +213,23 @@ def test_a_line_of_one_sentence_meets_the_sentence_inside_a_line(spark):
     assert got == [(2, 11, 11 + n, 60, 1, 1), (3, 2, 2 + n, 60, 1, 1), (6, 0, 38, 8, 1, 5)]
 
 
+def test_runs_stretch_over_cut_sentences(spark):
+    rng = random.Random(9)
+    a, b, c, x, y = words(rng, 30).split(), words(rng, 6), words(rng, 30).split(), words(rng, 12), words(rng, 12)
+    head, tail = " ".join(a[8:]), " ".join(c[:18])
+    first = f"{' '.join(a)}. {b}.   {' '.join(c)}."
+    later = f"{x} {head}.     {b}. {tail} {y}."
+    edited = f"{x}. {' '.join(a)}. {b}. {' '.join(c[:18])} changed {' '.join(c[19:])}. {b}. {y}."
+    rows = [(1, first), (2, later), (3, f"{b}. {y} {x}."), (4, edited)]
+    got = sorted(tuple(r) for r in unit_dedup.repeated_spans(frame(spark, rows), stretch=True).collect())
+    start = later.index(head)
+    assert got[0] == (2, start, later.index(tail) + len(tail), 22 + 6 + 18, 1, 1)
+    span = next(g for g in got if g[0] == 4)
+    assert edited[span[1] : span[2]] == edited[edited.index(a[0]) : edited.index(" changed")]
+    assert (span[3], span[4], span[5]) == (30 + 6 + 18, 2, 1)
+    assert not any(g[0] in (1, 3) for g in got)
+
+
 def test_cut_spans_are_the_repeats():
     assert unit_dedup.without_spans("one two three", [(4, 8)]) == "one three"
     assert unit_dedup.without_spans("abc", []) == "abc"
