@@ -73,20 +73,20 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _picked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The sentences of texts whose numbers are wanted."""
+    """The sentences of texts whose numbers are wanted, and whether their lines are removed."""
     for batch in batches:
-        for rows, texts, wanted in pieces(batch, "row", "text", "wanted"):
+        for rows, texts, wanted, lines in pieces(batch, "row", "text", "wanted", "gone"):
             out: list[tuple] = []
-            for row, text, seqs in zip(rows, texts, wanted, strict=True):
-                found, want, seq = list(units(text or "")), set(seqs), 0
+            for row, text, seqs, gone in zip(rows, texts, wanted, lines, strict=True):
+                found, want, gone, seq = list(units(text or "")), set(seqs), set(gone or ()), 0
                 for k, (kind, line, start, end, _) in enumerate(found):
                     if kind == SENTENCE or k + 1 == len(found) or found[k + 1][0] == LINE:
                         if seq in want:
-                            out.append((row, seq, line, start, text[start:end]))
+                            out.append((row, seq, line in gone, start, text[start:end]))
                         seq += 1
             columns = list(zip(*out, strict=True)) or [()] * 5
-            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["row", "seq", "line", "start", "text"])
+            kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["row", "seq", "gone", "start", "text"])
 
 
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,7 +112,7 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _stretched(runs: DataFrame, first: DataFrame, texts: DataFrame, lines: DataFrame, run_words: int) -> DataFrame:
+def _stretched(runs: DataFrame, first: DataFrame, texts: DataFrame, gone: DataFrame, run_words: int) -> DataFrame:
     """runs with start and end moved outwards as far as the words around them are those around the earliest occurrence
     of their outermost sentences; `total` counts these words too where a removed line has them. Only the next sentence
     matters: one that agrees as a whole is a repeat itself, and in the run. So runs that have too few words with both
@@ -124,8 +124,8 @@ def _stretched(runs: DataFrame, first: DataFrame, texts: DataFrame, lines: DataF
     edges = edges[0].unionByName(edges[1]).join(first.select("h1", "h2", F.col("first.row").alias("row1"), seq("first.spot").alias("seq1")), ["h1", "h2"])
     edges = scratch(edges.select("row", "run", "seq", "left", "row1", (F.col("seq1") + F.when(F.col("left"), -1).otherwise(1)).alias("seq1")), "unit-edges")
     wanted = edges.select("row", "seq").unionByName(edges.select(F.col("row1").alias("row"), F.col("seq1").alias("seq"))).groupBy("row").agg(F.collect_set("seq").alias("wanted"))
-    near = scratch(texts.join(wanted, "row").mapInArrow(_picked, "row long, seq int, line int, start int, text string"), "unit-near")
-    mine = near.join(lines.select("row", "line", F.lit(True).alias("gone")), ["row", "line"], "left").select("row", "seq", "start", F.coalesce("gone", F.lit(False)).alias("gone"), F.col("text").alias("mine"))
+    near = scratch(texts.join(wanted, "row").join(gone, "row", "left").mapInArrow(_picked, "row long, seq int, gone boolean, start int, text string"), "unit-near")
+    mine = near.withColumnRenamed("text", "mine")
     theirs = near.select(F.col("row").alias("row1"), F.col("seq").alias("seq1"), F.col("text").alias("theirs"))
     both = edges.join(mine, ["row", "seq"]).join(theirs, ["row1", "seq1"]).select("row", "run", "seq", "left", "start", "gone", "mine", "theirs")
     found = both.mapInArrow(_agreeing, "row long, run long, seq int, left boolean, gone boolean, agree int, froms array<int>, tos array<int>").where("agree > 0")
@@ -164,12 +164,16 @@ def repeated_spans(docs: DataFrame, line_words: int = 5, run_words: int = 20, st
     repeats = repeats.withColumns({h: F.when(F.lit(stretch) & ((F.col("kind") == SENTENCE) | (F.col("words") < line_words)), F.col(h)) for h in ("h1", "h2")})
     repeats = scratch(repeats, "unit-repeats")
     lines = repeats.where((F.col("kind") == LINE) & (F.col("words") >= line_words))
-    sentences = repeats.where(F.col("kind") == SENTENCE).join(lines.select("row", "line"), ["row", "line"], "left_anti")
-    if stretch:
-        short = repeats.where((F.col("kind") == LINE) & (F.col("words") < line_words) & F.col("spot").isNotNull())
-        sentences, by = sentences.unionByName(short.select(*sentences.columns)), Window.partitionBy("row").orderBy("spot")
+    sentences = repeats.where(F.col("kind") == SENTENCE)
+    if stretch:  # everything by row, so that sentences move once
+        gone = scratch(lines.groupBy("row").agg(F.collect_set("line").alias("gone")), "unit-gone")
+        short = (F.col("kind") == LINE) & (F.col("words") < line_words) & F.col("spot").isNotNull()
+        sentences = repeats.where((F.col("kind") == SENTENCE) | short).join(gone, "row", "left")
+        sentences = sentences.where(~F.coalesce(F.array_contains("gone", F.col("line")), F.lit(False))).drop("gone", "kind", "line")
+        by = Window.partitionBy("row").orderBy("spot")
         new = F.shiftright("spot", 32) - F.lag(F.shiftright("spot", 32)).over(by) > 1
     else:  # neighbouring sentences of a line are at most a space apart
+        sentences = sentences.join(lines.select("row", "line"), ["row", "line"], "left_anti")
         by = Window.partitionBy("row", "line").orderBy("start")
         new = F.col("start") - F.lag("end").over(by) > 2
     runs = sentences.withColumn("new", F.coalesce(new.cast("int"), F.lit(1))).withColumn("run", F.sum("new").over(by))
@@ -177,7 +181,7 @@ def repeated_spans(docs: DataFrame, line_words: int = 5, run_words: int = 20, st
         F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"), F.count("*").alias("units"),
         F.min(F.struct("start", "first_id", "spot", "h1", "h2")).alias("head"), F.max(F.struct("start", "spot", "h1", "h2")).alias("tail"),
     )
-    runs = _stretched(runs, first, keyed.select("row", "text"), lines, run_words).where(F.col("total") >= run_words) if stretch else runs.where(F.col("words") >= run_words)
+    runs = _stretched(runs, first, keyed.select("row", "text"), gone, run_words).where(F.col("total") >= run_words) if stretch else runs.where(F.col("words") >= run_words)
     spans = lines.select("id", "start", "end", F.col("words").cast("long").alias("words"), F.lit(1).cast("long").alias("units"), "first_id").unionByName(
         runs.select("id", "start", "end", "words", "units", F.col("head.first_id").alias("first_id"))
     )
