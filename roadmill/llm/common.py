@@ -6,6 +6,7 @@ import gc
 import tempfile
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,32 +32,45 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 _written: list[tuple[str, str]] = []
-#: Rows of whole texts that go to a Python worker at once.
-_BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+#: Rows and bytes of whole texts that go to a Python worker at once.
+_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 
 
-def scratch(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared folder and read back. It cuts lineage, fixes row numbers as data, and
-    gives the planner the true size."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/scratch/{uuid.uuid4().hex}-{name}"
-    before = spark.conf.get(_BATCH)
-    spark.conf.set(_BATCH, str(BATCH_ROWS))
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Actions inside send few rows and bytes to a Python worker at once, as long texts need."""
+    before = {k: spark.conf.get(k) for k in _BATCHES}
     try:
-        df.write.parquet(path)
+        for k, v in _BATCHES.items():
+            spark.conf.set(k, v)
+        yield
     finally:
-        spark.conf.set(_BATCH, before)
-    _written.append((spark.sparkContext.applicationId, path))
-    return spark.read.schema(df.schema).parquet(path)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def scratch(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """df written to the shared folder and read back. It cuts lineage, fixes row numbers as data, and
+    gives the planner the true size. A table with a path of its own is no scratch table: `sweep` leaves it."""
+    spark, at = df.sparkSession, path or f"{shared_dir(df.sparkSession)}/scratch/{uuid.uuid4().hex}-{name}"
+    with small_batches(spark):
+        df.write.parquet(at)
+    if not path:
+        _written.append((spark.sparkContext.applicationId, at))
+    return spark.read.schema(df.schema).parquet(at)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of any store."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def sweep(spark: SparkSession) -> None:
     """Deletes this application's scratch tables. Call it only when every result that was made from them
     has been written elsewhere."""
-    app, sc = spark.sparkContext.applicationId, spark.sparkContext
-    for item in [x for x in _written if x[0] == app]:
-        path = sc._jvm.org.apache.hadoop.fs.Path(item[1])
-        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+    for item in [x for x in _written if x[0] == spark.sparkContext.applicationId]:
+        remove(spark, item[1])
         _written.remove(item)
 
 

@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import pieces, scratch, shuffle_partitions, use_worker
@@ -257,14 +257,20 @@ def _write(path: str, end_id: int, block_ids: int, block_docs: int):
     return run, "part int, seq int, before long, n_docs long, n_ids long, payload binary"
 
 
-def write_blocks(docs: DataFrame, tokenizer: str, end_id: int, block_ids: int = 1 << 18, block_docs: int = 1 << 14) -> DataFrame:
+def write_blocks(docs: DataFrame, tokenizer: str, end_id: int, block_ids: int = 1 << 18, block_docs: int = 1 << 14, path: str | None = None) -> DataFrame:
     """docs(doc_id, text): the table of blocks, in ascending doc_id order by (part, seq); `before` counts the ids
-    that come before a block in its part."""
+    that come before a block in its part. With a path it is the corpus's tokens, written there and the caller's to keep;
+    without one it is a scratch table."""
     n = shuffle_partitions(docs.sparkSession)
     order = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
     order = order.repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
     run, schema = _write(tokenizer, end_id, block_ids, block_docs)
-    return scratch(order.mapInArrow(run, schema), "token-blocks")
+    return scratch(order.mapInArrow(run, schema), "token-blocks", path)
+
+
+def read_blocks(spark: SparkSession, path: str) -> DataFrame:
+    """The table of blocks that `write_blocks` left at path."""
+    return spark.read.parquet(path)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -96,8 +97,8 @@ def near_brute(rows, n):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("size,small,pivots", [(4, 8, 64), (5, 2, 1), (4, 3, 2)])
-def test_circulant_minhash_equals_brute_force(spark, size, small, pivots):
+@pytest.mark.parametrize("size,small,pivots,chunk", [(4, 8, 64, 128), (5, 2, 1, 3), (4, 3, 2, 2)])
+def test_circulant_minhash_equals_brute_force(spark, size, small, pivots, chunk):
     rng = random.Random(size * 10 + small)
     rows = [(900, None), (901, ""), (902, " \n"), (903, "one two"), (904, "ONE  two"), (905, "one two three"), (None, "null id text of some words here"), (906, "Null ID text of some words here"), (None, "alone among all the nulls here")]
     number = 0
@@ -110,7 +111,7 @@ def test_circulant_minhash_equals_brute_force(spark, size, small, pivots):
             rows.append((number, " ".join(text)))
             number += 1
     rows += [(3, rows[12][1]), (950, words(rng, 8000))]
-    got = [tuple(r) for r in circulant.near_duplicates(frame(spark, rows), size, 80, small=small, pivots=pivots).collect()]
+    got = [tuple(r) for r in circulant.near_duplicates(frame(spark, rows), size, 80, small=small, pivots=pivots, chunk=chunk).collect()]
     assert sorted(got, key=repr) == near_brute(rows, size)
 
 
@@ -124,6 +125,49 @@ def test_a_chain_longer_than_a_bucket_is_one_component(spark):
 
 def test_near_duplicates_of_no_rows(spark):
     assert circulant.near_duplicates(frame(spark, []), 5).count() == 0
+    assert circulant.keep_one(frame(spark, []), 5).count() == 0
+
+
+def keep_brute(rows, n):
+    """One row of each component, by loops: the least id (null last), any text of it; wordless rows all stay."""
+    sets = [shingles(t, n) for _, t in rows]
+    near = lambda a, b: bool(sets[a]) and bool(sets[b]) and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    left, out = set(range(len(rows))), []
+    while left:
+        part, todo = set(), [min(left)]
+        while todo:
+            k = todo.pop()
+            part.add(k)
+            todo += [j for j in left - part if near(k, j) and j not in todo]
+        left -= part
+        if sets[min(part)]:
+            out.append({rows[k] for k in part if (rows[k][0] is None, rows[k][0] or 0) == min((rows[j][0] is None, rows[j][0] or 0) for j in part)})
+        else:
+            out.append({rows[k] for k in part})
+    return out
+
+
+def test_one_row_of_each_component_stays_whatever_the_ids(spark):
+    rng = random.Random(7)
+    a, b, c = words(rng, 40), words(rng, 40), words(rng, 40)
+    rows = [(3, b), (5, a), (5, b + " tail"), (None, b), (6, a), (6, a), (None, c), (None, c), (7, None), (7, None), (8, ""), (None, " "), (9, words(rng, 9000)), (5, a)]
+    docs = spark.createDataFrame([(i, t, k % 3, "x") for k, (i, t) in enumerate(rows)], "doc_id long, text string, k1 int, n string")
+    got = circulant.keep_one(docs)
+    assert got.columns == docs.columns
+    found = [(r.doc_id, r.text) for r in got.collect()]
+    expected = keep_brute(rows, 5)
+    assert len(found) == len(expected)
+    for choice in expected:
+        assert sum(x in choice for x in found) >= 1, choice
+    assert sorted(found, key=repr) == sorted(((r.doc_id, r.text) for r in circulant.keep_one(docs.repartition(3)).collect()), key=repr)
+
+
+def test_long_texts_share_no_band_by_chance():
+    """Sets of 10**6 shingles that have none in common, in a universe of 2**32."""
+    rng = np.random.default_rng(4)
+    s = circulant.Signer(5, 128, 8)
+    bands = [set(enumerate(s.bands(np.unique(rng.integers(0, 1 << 63, 10**6).astype(np.uint64) * np.uint64(2)), 4).tolist())) for _ in range(3)]
+    assert not bands[0] & bands[1] and not bands[1] & bands[2]
 
 
 def test_signature_estimates_jaccard():

@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import corpus_pipeline
-from roadmill.llm import circulant, containment, exact_shards, mixture, weak_quality
+from roadmill.llm import containment, exact_shards, mixture, token_blocks, weak_quality
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -206,7 +206,7 @@ def test_stages_keep_the_columns_of_documents(spark, sf_dir):
 def test_run_equals_brute_force(spark, sf_dir):
     """Each stage's decisions, made again by plain loops over the rows that reach it."""
     from test_dedup import near_brute
-    from test_tokens import brute
+    from test_tokens import brute, plain_ids
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     columns = docs.columns
@@ -222,4 +222,20 @@ def test_run_equals_brute_force(spark, sf_dir):
     rows = [r for r in rows for _ in range(times[r[at["doc_id"]]])]
     got = corpus_pipeline.run(spark, sf_dir).collect()
     assert sorted((tuple(r) for r in got), key=lambda r: r[1]) == brute([(r[at["doc_id"]], r[at["text"]]) for r in rows])
-    assert len(rows) > 100 and circulant.D
+    # the corpus's ids are read again from the files that stay
+    kept = token_blocks.read_blocks(spark, corpus_pipeline.token_folder(spark, sf_dir)).orderBy("part", "seq").collect()
+    blocks = [token_blocks.open_block(r.payload) for r in kept]
+    ids = [(b.doc_id(k), b.tokens(k).tolist()) for b in blocks for k in range(b.n_docs)]
+    ordered = sorted((r[at["doc_id"]], r[at["text"]]) for r in rows)
+    assert ids == [(i, [*x, 1]) for (i, _), x in zip(ordered, plain_ids([t or "" for _, t in ordered]), strict=True)]
+    assert len(rows) > 100
+
+
+def test_near_duplicate_stage_with_repeated_and_null_ids(spark, sf_dir):
+    a, b, c = ("one two three four five six seven eight nine ten " + x for x in ("alpha beta", "gamma delta", "epsilon zeta eta theta iota kappa"))
+    rows = [(3, b, "s"), (5, a, "s"), (5, b + " tail", "t"), (None, b, "s"), (8, None, "s"), (8, None, "s"), (9, "", None), (10, c, "s"), (10, c, "t")]
+    got = corpus_pipeline.near_duplicates(spark, frame(spark, rows), sf_dir)
+    assert got.columns == frame(spark, []).columns
+    found = sorted(((r.doc_id, r.text) for r in got.collect()), key=repr)
+    assert found == sorted([(3, b), (5, a), (8, None), (8, None), (9, ""), (10, c)], key=repr)
+    assert corpus_pipeline.near_duplicates(spark, frame(spark, []), sf_dir).count() == 0

@@ -108,3 +108,14 @@ def test_repeated_ids_are_documents_of_their_own(spark):
 def test_no_rows(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert tb.read_documents(tb.write_blocks(df, tokenizer_path(), 1)).count() == 0
+
+
+def test_blocks_with_a_path_outlive_the_scratch_tables(spark, tmp_path):
+    from roadmill.llm.common import sweep
+
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(TEXTS)], "doc_id long, text string")
+    tb.write_blocks(df, tokenizer_path(), 1, path=f"{tmp_path}/blocks")
+    sweep(spark)
+    rows = tb.read_blocks(spark, f"{tmp_path}/blocks").orderBy("part", "seq").collect()
+    found = [(b.doc_id(k), b.tokens(k).tolist()) for b in (tb.open_block(r.payload) for r in rows) for k in range(b.n_docs)]
+    assert found == [(k, [*ids, 1]) for k, ids in enumerate(plain_ids(TEXTS))]
