@@ -1,17 +1,29 @@
 """Main text of pages by equivalence-class template deduction.
 
-A page is read into elements (a path of tag, class and id names) and text blocks. Over the pages of a host, a
-path token's occurrence vector is how often it occurs in each page; vectors are compared by support and the
-exclusive or of a hash of each page's count, so a host's pages meet only in aggregates. Tokens with one vector are an equivalence class. A
-class is valid if enough pages have it and the nearest template element above each of its tokens is in the class
-itself or in one other valid class, in which it nests. Valid classes make the host's template; what is left
-between their tokens are slots. A slot is dropped if an element above it is boilerplate by its name, if its text is the
-same on all pages of the host, or if it lies in a template element outside the content root: the `article` or `main` of
-a valid class, else the element below which most text that is no link lies, sought from class to nested class. Hosts with too few pages use the template of all
-pages together.
+A page is read into elements and text blocks. An element's token is its path of tags with their class and id names; an
+unnamed container also has its place among its like. A token's occurrence vector says how often it occurs in each page
+of the host. Vectors are compared by the sums of two random numbers of each page times the count, which is linear, so a
+host's pages meet only in aggregates, and repeated pages count as often as they are there.
+
+1. Unnamed containers whose tokens by place all have one vector are told apart by place; others are one token.
+2. Tokens with one vector are an equivalence class. A class is valid if its outermost tokens nest in one other class;
+   tokens that have its vector but nest elsewhere have it by chance. Valid classes make the template.
+3. The content root is sought downwards from the outermost class: to a container of the same class, or of one nested
+   directly in it, that holds nearly all text (not in links) of its like. A host with little text leans on the shares
+   that all pages together have: these count as `prior` characters. The search ends at an `article` or `main`, which is
+   the content by HTML's own definition, and where text stands directly beside the next container. If no container
+   holds nearly all, an `article` or `main` is the tie-break.
+4. The rest are slots. Those in template elements beside the root are dropped. Below the root, text stays but for
+   elements that HTML defines as menus, footers, asides, forms and the like, and, as the last tie-break, elements whose
+   whole name says advert, notice, comments or another of the words below; and, where the root is no article or
+   main, for lists of links and for template elements whose text is the same on `least_pages` pages or more, if their
+   pages differ.
+
+A page without its host's root uses the root of all pages, or its own article, or all of itself.
 
 Nulls and ties: null, empty and textless html give an empty text; a null url is a host of its own; repeated rows
-are pages of their own. Columns other than page_id, url and html are not read.
+are pages of their own; very long and broken pages are read whole, open elements ending with the page; no rows give no
+rows. Columns other than page_id, url and html are not read.
 """
 
 from __future__ import annotations
@@ -20,6 +32,7 @@ import html as entities
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import pandas as pd
 import pyarrow as pa
@@ -43,74 +56,57 @@ BLOCK = frozenset(
     "h4 h5 h6 header hr li main nav ol p pre section summary table caption thead tbody tfoot tr td th ul menu".split()
 )
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
+CONTAINERS = frozenset("html body div section center table tbody tr td main article".split())
+#: Containers that are told apart by place if they have no name.
+PLACED = frozenset("div section center table td".split())
 #: An open element of the second set ends when one of the first starts, up to the third.
 CLOSES = [(BLOCK, {"p"}, BLOCK - {"p"}), ({"li"}, {"li"}, {"ul", "ol", "menu"}), ({"dt", "dd"}, {"dt", "dd"}, {"dl"}), ({"td", "th"}, {"td", "th"}, {"tr", "table"}), ({"tr"}, {"tr", "td", "th"}, {"table"}), ({"tbody", "tfoot", "thead"}, {"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}), ({"option"}, {"option"}, {"select"})]
+#: What HTML defines as no main content.
 FOREIGN_TAGS = frozenset("nav footer aside form button dialog menu head header".split())
-FOREIGN_NAMES = frozenset(
-    "ad ads adv advert adverts advertisement advertising adbox sponsor sponsored promo promotion banner notice notices notification cookie cookies consent gdpr alert popup "
-    "overlay modal nav navbar navigation menu breadcrumb breadcrumbs sidebar aside footer header masthead topbar toolbar comment comments commentlist reply replies respond disqus "
-    "social share sharing related recommended recommendations newsletter subscribe subscription signup login search pagination pager widget toc copyright disclaimer legal skip".split()
+#: Words that say so in a name, and words that may stand beside them in it.
+FOREIGN_WORDS = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner notice notices notification cookie cookies consent gdpr popup "
+    "overlay modal nav navbar navigation menu breadcrumb breadcrumbs sidebar footer masthead topbar toolbar comment comments commentlist disqus "
+    "social share sharing newsletter subscribe pagination pager widget".split()
 )
+PLAIN_WORDS = frozenset("box bar list area wrapper wrap container section block slot unit top bottom left right inner outer links buttons site global sticky fixed header signup".split())
 
 
 def _key(tag: str, attributes: str) -> str:
-    """Tag, class, id and role names with long numbers as 0, so that a page's own number makes no path of its own.
-    Ids are marked by
-    a number sign. An article or main has only the names that are boilerplate's: others (ids, categories) are the page's."""
-    if not attributes or "=" not in attributes:
+    """Tag, class, id and role names with long numbers as 0, so that a page's own number makes no path of its own. Ids
+    are marked by a number sign. An article or main has no names: they are often the page's own."""
+    if not attributes or "=" not in attributes or tag in ("article", "main"):
         return tag
     names = sorted({"#" * (m[1].lower() == "id") + _DIGITS.sub("0", x) for m in _NAMES.finditer(attributes) for x in (m[2] or m[3] or m[4] or "").lower().split()})
-    if tag in ("article", "main"):
-        names = [n for n in names if _foreign(f"{tag}.{n}")]
-    return ".".join([tag, *(n.replace("/", "_") for n in names)])
+    return ".".join([tag, *(n.replace("/", "_").replace("~", "_") for n in names)])
 
 
-def foreign(key: str) -> bool:
-    """Whether an element is boilerplate by its tag or by a word of its class, id or role."""
-    tag, *names = key.split(".")
-    return tag in FOREIGN_TAGS or any(w in FOREIGN_NAMES for n in names for w in _PARTS.split(n))
+def tag_of(path: str) -> str:
+    return path.rpartition("/")[2].partition(".")[0].partition("~")[0]
 
 
-def surely_foreign(key: str) -> bool:
-    """Whether an element inside the content is boilerplate without further evidence: its tag, or a whole name, is.
-    Headings aren't: their names are often made from their words."""
-    tag, *names = key.split(".")
-    return tag not in HEADINGS and (tag in FOREIGN_TAGS or any(n.lstrip("#") in FOREIGN_NAMES for n in names))
-
-
-def perhaps_foreign(key: str) -> bool:
-    """Whether a word of its class or role says so: it is if the template has the element. An id may be a title's."""
-    tag, *names = key.split(".")
-    return tag not in HEADINGS and any(w in FOREIGN_NAMES for n in names if n[:1] != "#" for w in _PARTS.split(n))
-
-
-def _named(key: str) -> bool:
-    return key.split(".")[0] not in HEADINGS and _foreign(key)
-
-
-def _whole(root: str) -> bool:
-    """Whether a root is all of a page, where ids of boilerplate count too if the template has them."""
-    return root.rpartition("/")[2].split(".")[0] in ("", "html", "body")
-
-
-_foreign_cache: dict[str, bool] = {}
-
-
-def _foreign(key: str) -> bool:
-    if key not in _foreign_cache:
-        if len(_foreign_cache) > 100_000:
-            _foreign_cache.clear()
-        _foreign_cache[key] = foreign(key)
-    return _foreign_cache[key]
+def boilerplate_name(key: str) -> bool:
+    """Whether a class, id or role consists of words of boilerplate, and of plain words beside them. Headings aren't:
+    their names are often made from their words."""
+    tag, *names = key.partition("~")[0].split(".")
+    if tag in HEADINGS:
+        return False
+    for n in names:
+        words = [w for w in _PARTS.split(n) if w and not w.isdigit()]
+        if any(w in FOREIGN_WORDS for w in words) and all(w in FOREIGN_WORDS or w in PLAIN_WORDS for w in words):
+            return True
+    return False
 
 
 class Page:
-    """elements: how often each path occurs; blocks: (path, text, characters in links) in page order."""
+    """elements: how often each path occurs; blocks: (path, text, characters in links) in page order. An unnamed
+    container's path has its place among the containers of its parent with the same tag, after a tilde."""
 
     def __init__(self, source: str):
         self.elements: Counter[str] = Counter()
         self.blocks: list[tuple[str, str, int]] = []
-        self._stack: list[tuple[str, str, str]] = []  # tag, key, path
+        self._stack: list[tuple[str, str, Counter[str]]] = []  # tag, path, unnamed containers in it
+        self._outer: Counter[str] = Counter()
         self._text: list[str] = []
         self._link = self._links = 0
         at, end = 0, len(source)
@@ -141,7 +137,7 @@ class Page:
         if self._text:
             text = _SPACE.sub(" ", entities.unescape("".join(self._text))).strip()
             if text:
-                path = next((p for tag, _, p in reversed(self._stack) if tag in BLOCK), "")
+                path = next((p for tag, p, _ in reversed(self._stack) if tag in BLOCK), "")
                 self.blocks.append((path, text, min(self._links, len(text))))
             self._text, self._links = [], 0
 
@@ -158,10 +154,14 @@ class Page:
                     elif self._stack[i][0] in limit:
                         break
         key = _key(tag, attributes)
-        path = f"{self._stack[-1][2]}/{key}" if self._stack else key
+        if tag in PLACED and key == tag:
+            places = self._stack[-1][2] if self._stack else self._outer
+            places[tag] += 1
+            key = f"{tag}~{places[tag]}"
+        path = f"{self._stack[-1][1]}/{key}" if self._stack else key
         self.elements[path] += 1
         if tag not in VOID and not attributes.endswith("/"):
-            self._stack.append((tag, key, path))
+            self._stack.append((tag, path, Counter()))
             self._link += tag == "a"
 
     def _pop(self, i: int) -> None:
@@ -179,13 +179,20 @@ class Page:
 
 # ---------------------------------------------------------------- occurrence vectors
 
-_STATS = "host string, path string, pages long, times long, vector long, chars long, links long, low long, high long, below long"
+_STATS = "host string, path string, pages long, times long, v1 long, v2 long, chars long, links long, low long, high long, below long"
+_SUMS = ("pages", "times", "v1", "v2", "chars", "links", "below")
+
+
+def page_numbers(tie: int) -> tuple[int, int]:
+    """Two random numbers of 24 bits for a page: sums of counts times these stand for occurrence vectors."""
+    h = xxhash.xxh64_intdigest(str(tie))
+    return h & 0xFFFFFF, (h >> 24) & 0xFFFFFF
 
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Summed per batch: for each host and path the pages that have it, how often, the joined page hashes, and
-    characters, characters in links, the least and greatest hash of its texts, and the characters that are no link's of
-    it and all below it, by no boilerplate's name. The path '' counts the pages."""
+    """Summed per batch: for each host and path the pages that have it, how often, the vector's two sums, characters,
+    characters in links, the least and greatest hash of its texts, and the characters that are in no link of it and all
+    below it, outside what HTML defines as no main content. The path '' counts the pages."""
     names = [x.split()[0] for x in _STATS.split(", ")]
     for batch in batches:
         sums: dict[tuple[str, str], list[int]] = {}
@@ -196,28 +203,28 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 under: Counter[str] = Counter()
                 for path, text, links in page.blocks:
                     texts[path].append((text, links))
-                    if links < len(text) and not any(_foreign(k) for k in path.split("/")):
+                    if links < len(text) and not any(tag_of(k) in FOREIGN_TAGS for k in path.split("/")):
                         up = path
                         while up:
                             under[up] += len(text) - links
                             up = up.rpartition("/")[0]
                         under[""] += len(text) - links
+                r1, r2 = page_numbers(i)
                 for path, n in [("", 1), *page.elements.items()]:
                     own = texts.get(path, ())
-                    mark = xxhash.xxh64_intdigest(f"{i}:{n}") >> 1
                     told = xxhash.xxh64_intdigest("\n".join(t for t, _ in own)) >> 1
-                    new = [1, n, mark, sum(len(t) for t, _ in own), sum(k for _, k in own), told, told, under[path]]
+                    new = [1, n, n * r1, n * r2, sum(len(t) for t, _ in own), sum(k for _, k in own), told, told, under[path]]
                     if (old := sums.get((host, path))) is None:
                         sums[host, path] = new
                     else:
-                        sums[host, path] = [old[0] + 1, old[1] + n, old[2] ^ mark, old[3] + new[3], old[4] + new[4], min(old[5], told), max(old[6], told), old[7] + under[path]]
+                        sums[host, path] = [*(a + b for a, b in zip(old[:6], new[:6], strict=True)), min(old[6], told), max(old[7], told), old[8] + new[8]]
         if sums:
             columns = [[h for h, _ in sums], [p for _, p in sums], *(list(c) for c in zip(*sums.values(), strict=True))]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if k < 2 else pa.int64()) for k, c in enumerate(columns)], names=names)
 
 
 def _merged(rows: DataFrame, *by: str) -> DataFrame:
-    return rows.groupBy(*by).agg(*(F.sum(c).alias(c) for c in ("pages", "times", "chars", "links", "below")), F.bit_xor("vector").alias("vector"), F.min("low").alias("low"), F.max("high").alias("high"))
+    return rows.groupBy(*by).agg(*(F.sum(c).alias(c) for c in _SUMS), F.min("low").alias("low"), F.max("high").alias("high"))
 
 
 # ---------------------------------------------------------------- templates
@@ -225,30 +232,94 @@ def _merged(rows: DataFrame, *by: str) -> DataFrame:
 ALL = "\0all"
 
 
-def classes_of(tokens: pd.DataFrame) -> dict[str, int]:
-    """Path to number of its equivalence class, valid classes only: outermost first, each nested in one other. Tokens
-    that share a vector by chance, from several classes, make an invalid class and aren't the template's."""
-    groups: dict[tuple[int, int], list[str]] = defaultdict(list)
-    for path, pages, vector in zip(tokens["path"], tokens["pages"], tokens["vector"], strict=True):
-        groups[int(pages), int(vector)].append(path)
+@dataclass
+class Token:
+    """What is known of a path over the pages of a host."""
+
+    pages: int = 0
+    times: int = 0
+    v1: int = 0
+    v2: int = 0
+    chars: int = 0
+    links: int = 0
+    low: int = 1 << 63
+    high: int = -1
+    below: int = 0
+
+    def add(self, r) -> None:
+        self.pages = max(self.pages, r.pages)
+        for c in _SUMS[1:]:
+            setattr(self, c, getattr(self, c) + getattr(r, c))
+        self.low, self.high = min(self.low, r.low), max(self.high, r.high)
+
+    @property
+    def vector(self) -> tuple[int, int, int, int]:
+        return self.pages, self.times, self.v1, self.v2
+
+
+def canonical(path: str, split: set[str], known: dict[str, str]) -> str:
+    """The path with the places of those containers alone that the template tells apart by place."""
+    if not path:
+        return ""
+    if (found := known.get(path)) is None:
+        above, _, key = path.rpartition("/")
+        base = canonical(above, split, known)
+        bare, _, place = key.partition("~")
+        found = f"{base}/{bare}" if base else bare
+        if place and found in split:
+            found += f"~{place}"
+        known[path] = found
+    return found
+
+
+def differentiated(rows: list) -> tuple[dict[str, Token], set[str]]:
+    """(tokens by path, containers told apart by place): of the unnamed containers of a parent those are told apart
+    whose tokens by place, two or more, have one vector, which means that every page with the parent has as many."""
+    split: set[str] = set()
+    known: dict[str, str] = {}
+    levels: dict[int, list] = defaultdict(list)
+    for r in rows:
+        levels[r.path.count("/")].append(r)
+    out: dict[str, Token] = {}
+    for depth in sorted(levels):
+        by_key: dict[str, dict[str, Token]] = defaultdict(lambda: defaultdict(Token))
+        for r in levels[depth]:
+            above, _, key = r.path.rpartition("/")
+            base = canonical(above, split, known)
+            bare, _, place = key.partition("~")
+            by_key[f"{base}/{bare}" if base else bare][place].add(r)
+        for path, places in by_key.items():
+            if len(places) > 1 and len({t.vector for t in places.values()}) == 1:
+                split.add(path)
+                out.update((f"{path}~{place}", t) for place, t in places.items())
+            else:
+                for t in places.values():
+                    out.setdefault(path, Token()).add(t)
+    return out, split
+
+
+def classes_of(tokens: dict[str, Token]) -> dict[str, int]:
+    """Path to number of its equivalence class, valid classes only. A class nests in one other: that above its outermost
+    tokens. Tokens with its vector that nest elsewhere share it by chance and aren't the template's; if the outermost
+    ones nest in several classes, the class is invalid."""
+    groups: dict[tuple, list[str]] = defaultdict(list)
+    for path, t in tokens.items():
+        groups[t.vector].append(path)
     where: dict[str, int] = {}
-    for k, members in enumerate(sorted(groups.values(), key=lambda g: (min(map(len, g)), min(g)))):
-        parents = set()
-        for path in members:
-            above = path.rpartition("/")[0]
-            while above and above not in where and above not in members:
-                above = above.rpartition("/")[0]
-            if above not in members:
-                parents.add(where.get(above, -1))
-        if len(parents) <= 1:
-            where.update(dict.fromkeys(members, k))
+    for k, members in enumerate(sorted(groups.values(), key=lambda g: (min(p.count("/") for p in g), min(g)))):
+        inside = set(members)
+        above = {p: _above(p, tokens) for p in members}
+        outer = {p: tokens[above[p]].vector if above[p] else None for p in members if above[p] not in inside}
+        depth = min(p.count("/") for p in outer)
+        parents = {v for p, v in outer.items() if p.count("/") == depth}
+        if len(parents) > 1:
+            continue
+        for path in sorted(members, key=lambda p: p.count("/")):
+            if where.get(above[path]) == k or path in outer and outer[path] in parents:
+                where[path] = k
     return where
 
 
-def _keys_below(root: str, path: str) -> list[str]:
-    return path[len(root) :].strip("/").split("/") if path != root else []
-
-
 def _above(path: str, known) -> str:
     """The nearest known element above a path, or ''."""
     path = path.rpartition("/")[0]
@@ -257,115 +328,164 @@ def _above(path: str, known) -> str:
     return path
 
 
-def deduce(tokens: pd.DataFrame, n_pages: int) -> tuple[str, list[str], list[str]]:
-    """(content root, dropped slots, outermost template elements beside the root and those in it with a word of
-    boilerplate in their names) of the pages whose tokens these
-    are. The template is the tokens of valid classes. Text sums were made page by page, so they count tokens that
-    aren't here too."""
-    where = classes_of(tokens[tokens["path"] != ""])
-    sizes = Counter(where.values())
-    stats = {r.path: r for r in tokens.itertuples() if r.path in where}
-    clear = [p for p in stats if not any(_foreign(k) for k in p.split("/"))]
-    roots = [p for p in clear if p.rpartition("/")[2].split(".")[0] in ("article", "main")]
-    inner = [p for p in roots if p.rpartition("/")[2].split(".")[0] == "article"] or roots
-    own = lambda top: stats[top].below
-    if inner:
-        # the outermost of the named elements that holds the most text
-        root = min((p for p in inner if not any(q != p and p.startswith(q + "/") for q in inner)), key=lambda p: (-own(p), p))
-    else:
-        root, total = "", sum(tokens.loc[tokens["path"] == "", "below"])
-        while total:  # downwards as long as one slot holds nearly all text: an element of the same class, or of a nested one of several tokens
-            below = [p for p in clear if _above(p, where) == root and stats[p].times == stats[p].pages and (not root or where[p] == where[root] or sizes[where[p]] > 1)]
-            heavy = max(below, key=lambda p: (own(p), p), default=None)
-            if heavy is None or heavy.rpartition("/")[2].split(".")[0] in HEADINGS | {"p"} or own(heavy) < 0.8 * total:
+@dataclass
+class Template:
+    """root: the content root; split: containers told apart by place; beside: outermost template elements beside the
+    root; dropped: elements inside it whose own text is the template's or a menu."""
+
+    root: str = ""
+    split: set[str] = field(default_factory=set)
+    beside: set[str] = field(default_factory=set)
+    dropped: set[str] = field(default_factory=set)
+
+
+#: A container that holds this share of the text of its like is the next content root.
+NEARLY_ALL = 0.8
+#: Text that is the same wherever it stands, on this share of the pages, is the template's.
+FIXED_SHARE = 0.9
+
+
+def deduce(rows: pd.DataFrame, shares: dict[str, float] | None = None, prior: float = 20_000.0, least_pages: int = 3) -> Template:
+    """The template of the pages whose tokens these are. shares: of all pages' text the share below each path."""
+    tokens, split = differentiated([r for r in rows.itertuples() if r.path])
+    n_pages = int(rows.loc[rows["path"] == "", "pages"].sum())
+    where = classes_of(tokens)
+    shares = shares or {}
+    inside: dict[str, list[str]] = defaultdict(list)  # template elements by the template element above
+    for path in where:
+        inside[_above(path, where)].append(path)
+    fixed = lambda p: tokens[p].low == tokens[p].high and tokens[p].pages >= max(least_pages, FIXED_SHARE * n_pages)
+    mass = lambda p: tokens[p].below + prior * shares.get(p, 0.0)
+
+    def other(at: str) -> int:
+        """Characters below an element that are in no template element below it."""
+        whole = tokens[at].below if at else int(rows.loc[rows["path"] == "", "below"].sum())
+        return whole - sum(tokens[p].below for p in inside[at])
+
+    def direct(at: str) -> int:
+        """Characters that stand in an element, or in its elements that are no containers, and vary."""
+        return sum(tokens[p].below for p in inside[at] if tag_of(p) not in CONTAINERS | FOREIGN_TAGS and not fixed(p)) + (tokens[at].chars - tokens[at].links if at and not fixed(at) else 0)
+
+    root = ""
+    while tag_of(root) not in ("article", "main"):
+        near = [p for p in inside[root] if tag_of(p) in CONTAINERS]  # of the root's class or of one nested in it
+        best = max(near, key=lambda p: (mass(p), p), default=None)
+        if best is None or tokens[best].below == 0 or direct(root) > 0.02 * mass(best):
+            break
+        held = sum(tokens[p].below for p in near)
+        if mass(best) * held < NEARLY_ALL * sum(map(mass, near)) * (held + other(root)):
+            best = max((p for p in near if tag_of(p) in ("article", "main")), key=lambda p: (mass(p), p), default=None)
+            if best is None:
                 break
-            root = heavy
-    dropped = []
-    for path, s in stats.items():
-        below = _keys_below(root, path)
-        fixed = n_pages >= 5 and s.pages >= 0.9 * n_pages and s.low == s.high and s.chars > 0
-        if fixed and not (inner and (path == root or path.startswith(root + "/"))):
-            dropped.append(path)  # the same text on every page is part of the template
-        elif s.links > 0.8 * s.chars > 0 and below and below[-1].split(".")[0] == "li" and not inner:
-            dropped.append(path)  # a list of links
+        root = best
     over = lambda p: root.startswith(p + "/")
-    beside = [p for p in stats if root and p != root and not p.startswith(root + "/") and not over(p) and (not (up := _above(p, where)) or over(up))]
-    # elements inside the root that the template confirms to be what a word of their names says
-    beside += [p for p in stats if (p.startswith(root + "/") or not root) and (perhaps_foreign if not _whole(root) else _named)(p.rpartition("/")[2])]
-    return root, sorted(dropped), sorted(beside)
+    beside = {p for p in where if root and p != root and not p.startswith(root + "/") and not over(p) and (not (up := _above(p, where)) or over(up))}
+    own = tag_of(root) in ("article", "main")
+    slots = [] if own else [p for p in where if tokens[p].chars and (not root or p.startswith(root + "/"))]
+    varies = other(root) > 0 or not all(map(fixed, slots))  # copies of one page tell nothing
+    dropped = set()
+    for path in slots:
+        t, key = tokens[path], path.rpartition("/")[2]
+        if varies and fixed(path) and ("." in key or tag_of(root) in ("", "html", "body")) and tag_of(path) not in HEADINGS:
+            dropped.add(path)  # a part of the template
+        elif t.links > 0.8 * t.chars and tag_of(path) == "li":
+            dropped.add(path)  # a menu
+    return Template(root, split, beside, dropped)
+
+
+_TEMPLATE = "host string, n_pages long, root string, split array<string>, beside array<string>, dropped array<string>"
+
+
+def templates(pages: DataFrame, least_share: float = 0.1, prior: float = 20_000.0, least_pages: int = 3) -> DataFrame:
+    """pages(host, tie, html): the template of every host, and of all pages under the name ALL. A group has the tokens
+    that a tenth of its pages have, and of ten pages or more two, so it is bounded by the pages' own size; text of other
+    tokens is in the sums of those above them, and `extract` keeps it unless a template element beside the root holds it.
+    The shares of all pages, as bounded, are one row's worth for the driver."""
+    rows = pages.select("host", "tie", "html").mapInArrow(_vectors, _STATS)
+    by_host = scratch(_merged(rows, "host", "path"), "template-tokens")
 
+    def frequent(tokens: DataFrame, count: DataFrame) -> DataFrame:
+        return tokens.join(count, "host").where((F.col("pages") >= F.col("n_pages") * least_share) & ((F.col("pages") > 1) | (F.col("n_pages") * least_share < 1))).drop("n_pages")
 
-def _deduce_group(rows: pd.DataFrame) -> pd.DataFrame:
-    n = int(rows["n_pages"].iloc[0])
-    root, dropped, beside = deduce(rows, n)
-    return pd.DataFrame({"host": [rows["host"].iloc[0]], "n_pages": [n], "root": [root], "dropped": [dropped], "beside": [beside]})
+    counts = by_host.where("path = ''").select("host", F.col("pages").alias("n_pages"))
+    n_pages = counts.agg(F.coalesce(F.sum("n_pages"), F.lit(0)).alias("n")).first().n
+    least = max(1.0, n_pages * least_share)
+    whole = _merged(by_host, "path").where(F.col("pages") >= least).withColumn("host", F.lit(ALL)).select(*by_host.columns).toPandas()
+    total = float(whole.loc[whole["path"] == "", "below"].sum())
+    # of the text of all pages, by path and by path without places
+    shares: Counter[str] = Counter()
+    for r in whole.itertuples():
+        if total and r.path:
+            shares[r.path] += r.below / total
+            if "~" in r.path:
+                shares[canonical(r.path, set(), {})] += r.below / total
 
+    def group(g: pd.DataFrame) -> pd.DataFrame:
+        t = deduce(g, shares, prior, least_pages)
+        return pd.DataFrame({"host": [g["host"].iloc[0]], "n_pages": [int(g.loc[g["path"] == "", "pages"].sum())], "root": [t.root], "split": [sorted(t.split)], "beside": [sorted(t.beside)], "dropped": [sorted(t.dropped)]})
 
-def templates(pages: DataFrame, least_pages: int = 3, least_share: float = 0.1) -> DataFrame:
-    """pages(host, tie, html): (host, n_pages, root, dropped, beside) of every host with enough pages, and of all pages
-    under the name ALL. A group has the paths that a tenth of its pages have, so it is bounded by the pages'
-    own size; text of other paths is in the sums of those above them, and `extract` keeps it unless a template element
-    beside the root holds it."""
-    rows = pages.select("host", "tie", "html").mapInArrow(_vectors, _STATS)
-    by_host = scratch(_merged(rows, "host", "path"), "template-tokens")
-    whole = _merged(by_host, "path").withColumn("host", F.lit(ALL)).select(*by_host.columns)
-    by_host = by_host.where(F.col("host") != ALL)
-    tokens = by_host.unionByName(whole)
-    counts = tokens.where("path = ''").select("host", F.col("pages").alias("n_pages"))
-    counts = counts.where((F.col("n_pages") >= least_pages) | (F.col("host") == ALL))
-    frequent = tokens.join(counts, "host").where((F.col("pages") >= F.col("n_pages") * least_share) & ((F.col("pages") > 1) | (F.col("n_pages") < 3)))
-    return scratch(frequent.groupBy("host").applyInPandas(_deduce_group, "host string, n_pages long, root string, dropped array<string>, beside array<string>"), "templates")
+    spark = pages.sparkSession
+    everyone = spark.createDataFrame(group(whole), _TEMPLATE) if len(whole) else spark.createDataFrame([], _TEMPLATE)
+    own = frequent(by_host, counts).groupBy("host").applyInPandas(group, _TEMPLATE)
+    return scratch(own.unionByName(everyone), "templates")
 
 
 # ---------------------------------------------------------------- extraction
 
 
-def extract(page: Page, root: str, dropped: set[str], beside: set[str]) -> str:
-    """The text of the page's slots that the template keeps. Outside an unnamed root, text goes if it is in an element
-    of the template; in an element that the template doesn't have it stays, being another layout's."""
-    tag = root.rpartition("/")[2].split(".")[0]
-    if root and root not in page.elements:  # another layout: the same element elsewhere, else all
-        named = [p for p in page.elements if p.rpartition("/")[2].split(".")[0] in ("article", "main")]
-        root = min(named, key=lambda p: (p.rpartition("/")[2].split(".")[0] != "article", len(p), p), default="")
-        tag = root.rpartition("/")[2].split(".")[0]
-    out = []
-    for path, text, _ in page.blocks:
-        below = _keys_below(root, path)
-        if root and path != root and not path.startswith(root + "/"):
-            if tag in ("article", "main") or root.startswith(path + "/") or path in beside or _above(path, beside):
-                continue
-            below = path.split("/")
-        loose = _whole(root) or not below or len(below) == path.count("/") + 1
-        marked, at = [], path[: len(path) - len("/".join(below))].rstrip("/")
-        for k in below:
-            at = f"{at}/{k}" if at else k
-            if _foreign(k) and (surely_foreign(k) or at in beside or (loose and perhaps_foreign(k))):
-                marked.append(k)
-        if marked and tag == "article" and below[-1].split(".")[0] in HEADINGS and all(k.split(".")[0] == "header" for k in marked):
-            marked = []  # an article's own title
-        if not marked and path not in dropped:
+def extract(page: Page, template: Template, everyone: Template) -> str:
+    """The text of the page's slots that the template keeps. Outside a root that is no article or main, text goes if it
+    is in an element of the template; in an element that the template doesn't have it stays, being another layout's."""
+    known: dict[str, str] = {}
+    there = {canonical(p, template.split, known) for p in page.elements}
+    if template.root and template.root not in there:  # another layout: that of all pages, its own article, or all
+        known, there = {}, {canonical(p, everyone.split, {}) for p in page.elements}
+        if everyone.root and everyone.root in there:
+            template = everyone
+        else:
+            named = [p for p in {canonical(p, set(), {}) for p in page.elements} if tag_of(p) in ("article", "main")]
+            template = Template(min(named, key=lambda p: (tag_of(p) != "article", len(p), p), default=""))
+    root, out = template.root, []
+    own = tag_of(root) in ("article", "main")
+    for raw, text, _ in page.blocks:
+        path = canonical(raw, template.split, known)
+        if not root or path == root or path.startswith(root + "/"):
+            keys = path[len(root) :].strip("/").split("/") if path != root else []
+        elif own or root.startswith(path + "/") or path in template.beside or _above(path, template.beside):
+            continue
+        else:
+            keys = path.split("/")
+        tags = [tag_of(k) for k in keys]
+        foreign = [t for t in tags if t in FOREIGN_TAGS]
+        if foreign and own and tags[-1] in HEADINGS and set(foreign) == {"header"}:
+            foreign = []  # an article's own title
+        if not foreign and path not in template.dropped and not any(map(boilerplate_name, keys)):
             out.append(text)
     return "\n".join(out)
 
 
-def _extracted(fallback: tuple[str, list[str], list[str]]):
+def _template(root, split, beside, dropped) -> Template:
+    return Template(root, set(split or ()), set(beside or ()), set(dropped or ()))
+
+
+def _extracted(everyone: Template):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, urls, roots, drops, besides, sources in pieces(batch, "page_id", "url", "root", "dropped", "beside", "html"):
-                found = [fallback if r is None else (r, d or (), b or ()) for r, d, b in zip(roots, drops, besides, strict=True)]
-                texts = [extract(Page(s or ""), r, set(d), set(b)) for (r, d, b), s in zip(found, sources, strict=True)]
+            for ids, urls, roots, splits, besides, drops, sources in pieces(batch, "page_id", "url", "root", "split", "beside", "dropped", "html"):
+                found = [_template(*t) for t in zip(roots, splits, besides, drops, strict=True)]
+                texts = [extract(Page(s or ""), t, everyone) for t, s in zip(found, sources, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(urls, pa.string()), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
     return run
 
 
-def main_text(pages: DataFrame, least_pages: int = 3) -> DataFrame:
+def main_text(pages: DataFrame, least_share: float = 0.1, prior: float = 20_000.0, least_pages: int = 3) -> DataFrame:
     """pages(page_id, url, html): page_id, url, text, n_chars. Templates are joined by host: the planner broadcasts
     them where their table is small, else AQE splits a hot host."""
     host, _ = url_parts(F.col("url"))
     keyed = pages.select("page_id", "url", host.alias("host"), F.xxhash64("page_id", "url").alias("tie"), "html")
-    found = templates(keyed, least_pages)
+    found = templates(keyed, least_share, prior, least_pages)
     row = found.where(F.col("host") == ALL).first()
-    joined = keyed.join(found.where(F.col("host") != ALL).select("host", "root", "dropped", "beside"), "host", "left").select("page_id", "url", "root", "dropped", "beside", "html")
-    run = _extracted((row["root"], list(row["dropped"]), list(row["beside"])) if row else ("", [], []))
+    joined = keyed.join(found.where(F.col("host") != ALL).select("host", "root", "split", "beside", "dropped"), "host").select("page_id", "url", "root", "split", "beside", "dropped", "html")
+    run = _extracted(_template(row["root"], row["split"], row["beside"], row["dropped"]) if row else Template())
     return joined.mapInArrow(run, "page_id long, url string, text string").withColumn("n_chars", F.char_length("text").cast("long"))
