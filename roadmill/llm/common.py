@@ -54,7 +54,7 @@ def scratch(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     gives the planner the true size. A table with a path of its own is no scratch table: `sweep` leaves it."""
     spark, at = df.sparkSession, path or f"{shared_dir(df.sparkSession)}/scratch/{uuid.uuid4().hex}-{name}"
     with small_batches(spark):
-        df.write.parquet(at)
+        df.write.option("compression", "zstd").parquet(at)
     if not path:
         _written.append((spark.sparkContext.applicationId, at))
     return spark.read.schema(df.schema).parquet(at)

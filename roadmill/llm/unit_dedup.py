@@ -1,14 +1,16 @@
 """Substring deduplication by hashing lines and sentences.
 
 Every line, and every sentence of a line that has several, is a unit: its text with white space normalised has a
-128-bit digest. Digests are grouped globally, lines of one sentence with sentences of longer lines; the earliest occurrence, by (doc_id, place), stays, and later ones
-are repeats. A repeated line of at least `line_words` words goes as a whole. Elsewhere a run of neighbouring
-repeated sentences goes if it has at least `run_words` words, so that short common sentences stay where they
-are, while a passage pasted into other text is found by the sentences inside it. Spans are offsets of the
-original text.
+128-bit digest. Digests are grouped globally, lines of one sentence with sentences of longer lines; the earliest
+occurrence, by (doc_id, place), stays, and later ones are repeats. A repeated line of at least `line_words` words goes as
+a whole. Elsewhere a run of neighbouring repeats, short lines and sentences, goes if it has at least `run_words` words,
+so that short common lines and sentences stay where they are, while a passage pasted into other text is found by the
+units inside it. Spans are offsets of the original text; `remove_repeats` cuts them out and keeps the offsets of what
+stays.
 
 Nulls and ties: a null or empty text has no units; a null id ranks after all others; repeated rows rank by row
-number, so the first stays. Columns other than doc_id and text are not read.
+number, so the first stays. Very long texts are read whole, one at a time. No rows give no rows. Columns other than
+doc_id and text are not read by `repeated_spans`; `remove_repeats` carries them, with any names.
 """
 
 from __future__ import annotations
@@ -143,14 +145,8 @@ def _stretched(runs: DataFrame, first: DataFrame, texts: DataFrame, gone: DataFr
     })
 
 
-def repeated_spans(docs: DataFrame, line_words: int = 5, run_words: int = 20, stretch: bool = False) -> DataFrame:
-    """docs(doc_id, text): a row per removed span: doc_id, start_char, end_char, n_words, n_units, keep_doc_id (of
-    the earliest occurrence of the span's first unit). Groups are summed before the shuffle and joined back,
-    so a line that a third of all documents share is no task of its own. With `stretch`, runs go on over white space of
-    any length, and are stretched over the words on both sides that their earliest occurrence has too."""
-    keyed = docs.select(F.monotonically_increasing_id().alias("row"), F.coalesce(F.col("doc_id"), F.lit(LONG_MAX)).cast("long").alias("id"), "text")
-    if stretch:
-        keyed = scratch(keyed, "unit-texts")
+def _spans(keyed: DataFrame, line_words: int, run_words: int, stretch: bool) -> DataFrame:
+    """keyed(row, id, text), read as often as it is needed: (row, id, start, end, words, units, first_id)."""
     cut = scratch(keyed.mapInArrow(_cut, "row long, id long, kind byte, line int, start int, end int, words int, h1 long, h2 long, spot long"), "unit-rows")
     place = F.struct("id", "row", "start", "spot")
     # by digest alone: a line of one sentence meets the same sentence inside a longer line
@@ -164,35 +160,61 @@ def repeated_spans(docs: DataFrame, line_words: int = 5, run_words: int = 20, st
     repeats = repeats.withColumns({h: F.when(F.lit(stretch) & ((F.col("kind") == SENTENCE) | (F.col("words") < line_words)), F.col(h)) for h in ("h1", "h2")})
     repeats = scratch(repeats, "unit-repeats")
     lines = repeats.where((F.col("kind") == LINE) & (F.col("words") >= line_words))
-    sentences = repeats.where(F.col("kind") == SENTENCE)
-    if stretch:  # everything by row, so that sentences move once
-        gone = scratch(lines.groupBy("row").agg(F.collect_set("line").alias("gone")), "unit-gone")
-        short = (F.col("kind") == LINE) & (F.col("words") < line_words) & F.col("spot").isNotNull()
-        sentences = repeats.where((F.col("kind") == SENTENCE) | short).join(gone, "row", "left")
-        sentences = sentences.where(~F.coalesce(F.array_contains("gone", F.col("line")), F.lit(False))).drop("gone", "kind", "line")
-        by = Window.partitionBy("row").orderBy("spot")
-        new = F.shiftright("spot", 32) - F.lag(F.shiftright("spot", 32)).over(by) > 1
-    else:  # neighbouring sentences of a line are at most a space apart
-        sentences = sentences.join(lines.select("row", "line"), ["row", "line"], "left_anti")
-        by = Window.partitionBy("row", "line").orderBy("start")
-        new = F.col("start") - F.lag("end").over(by) > 2
-    runs = sentences.withColumn("new", F.coalesce(new.cast("int"), F.lit(1))).withColumn("run", F.sum("new").over(by))
-    runs = runs.groupBy("row", "id", *([] if stretch else ["line"]), "run").agg(
+    # sentences, and lines of one sentence, that no removed line has; all by row, so that they move once
+    gone = scratch(lines.groupBy("row").agg(F.collect_set("line").alias("gone")), "unit-gone")
+    short = (F.col("kind") == LINE) & (F.col("words") < line_words) & F.col("spot").isNotNull()
+    sentences = repeats.where((F.col("kind") == SENTENCE) | short).join(gone, "row", "left")
+    sentences = sentences.where(~F.coalesce(F.array_contains("gone", F.col("line")), F.lit(False))).drop("gone", "kind")
+    by = Window.partitionBy("row").orderBy("spot")
+    number = F.shiftright("spot", 32)
+    new = F.coalesce((number - F.lag(number).over(by) > 1).cast("int"), F.lit(1))
+    runs = sentences.withColumn("new", new).withColumn("run", F.sum("new").over(by))
+    runs = runs.groupBy("row", "id", "run").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"), F.count("*").alias("units"),
         F.min(F.struct("start", "first_id", "spot", "h1", "h2")).alias("head"), F.max(F.struct("start", "spot", "h1", "h2")).alias("tail"),
     )
     runs = _stretched(runs, first, keyed.select("row", "text"), gone, run_words).where(F.col("total") >= run_words) if stretch else runs.where(F.col("words") >= run_words)
-    spans = lines.select("id", "start", "end", F.col("words").cast("long").alias("words"), F.lit(1).cast("long").alias("units"), "first_id").unionByName(
-        runs.select("id", "start", "end", "words", "units", F.col("head.first_id").alias("first_id"))
+    return lines.select("row", "id", "start", "end", F.col("words").cast("long").alias("words"), F.lit(1).cast("long").alias("units"), "first_id").unionByName(
+        runs.select("row", "id", "start", "end", "words", "units", F.col("head.first_id").alias("first_id"))
     )
+
+
+def _keyed(docs: DataFrame, *columns: str) -> DataFrame:
+    """A row number, which has to be data, as it is read again; an id that isn't null; and the columns."""
+    return scratch(docs.select(F.monotonically_increasing_id().alias("row"), F.coalesce(F.col("doc_id"), F.lit(LONG_MAX)).cast("long").alias("id"), *columns), "unit-texts")
+
+
+def repeated_spans(docs: DataFrame, line_words: int = 20, run_words: int = 20, stretch: bool = True) -> DataFrame:
+    """docs(doc_id, text): a row per removed span: doc_id, start_char, end_char, n_words, n_units, keep_doc_id (of
+    the earliest occurrence of the span's first unit). Groups are summed before the shuffle and joined back,
+    so a line that a third of all documents share is no task of its own. With `stretch`, runs are stretched over the
+    words on both sides that their earliest occurrence has too, and the minimum holds for the stretched run."""
+    spans = _spans(_keyed(docs, "text"), line_words, run_words, stretch)
     null = lambda c: F.when(F.col(c) != LONG_MAX, F.col(c))
     return spans.select(null("id").alias("doc_id"), F.col("start").alias("start_char"), F.col("end").alias("end_char"), F.col("words").alias("n_words"), F.col("units").alias("n_units"), null("first_id").alias("keep_doc_id"))
 
 
-def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
-    """The text with the spans cut out."""
-    out, at = [], 0
-    for start, end in sorted(spans):
-        out.append(text[at:start])
-        at = max(at, end)
-    return "".join([*out, text[at:]])
+_PIECES = "array<struct<start_char:int,end_char:int>>"
+
+
+def pieces_left(spans, length):
+    """What is left of a text of `length` characters without the spans, an array of structs with start and end that may
+    be null: an array of structs with start_char and end_char, in order."""
+    none = F.array().cast(_PIECES)
+    piece = lambda a, b: F.when(a < b, F.array(F.struct(a.alias("start_char"), b.alias("end_char"))).cast(_PIECES)).otherwise(none)
+    begin = F.struct(F.lit(0).alias("at"), none.alias("left"))
+    step = lambda s, x: F.struct(F.greatest(s.at, x.end).alias("at"), F.concat(s.left, piece(s.at, x.start)).alias("left"))
+    return F.aggregate(F.array_sort(F.coalesce(spans, F.array().cast("array<struct<start:int,end:int>>"))), begin, step, lambda s: F.concat(s.left, piece(s.at, length)))
+
+
+def remove_repeats(docs: DataFrame, line_words: int = 20, run_words: int = 20, stretch: bool = True) -> DataFrame:
+    """docs with its repeats cut out of text, and kept_spans: the offsets, in the original text, of the pieces that the
+    new text is made of. Null texts stay null. A row's spans are gathered, which its own text bounds."""
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")
+    keyed = _keyed(docs.select("doc_id", "text", row), "text", "doc")
+    spans = _spans(keyed.select("row", "id", "text"), line_words, run_words, stretch)
+    by_row = spans.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    held = keyed.join(by_row, "row", "left").withColumn("kept_spans", pieces_left(F.col("spans"), F.coalesce(F.char_length("text"), F.lit(0))))
+    cut = F.array_join(F.transform("kept_spans", lambda p: F.substring(F.col("text"), p.start_char + 1, p.end_char - p.start_char)), "")
+    text = F.when(F.col("text").isNull() | F.col("spans").isNull(), F.col("text")).otherwise(cut)
+    return held.select(*((text if c == "text" else F.col(f"doc.`{c}`")).alias(c) for c in docs.columns), "kept_spans")

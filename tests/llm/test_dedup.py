@@ -198,61 +198,127 @@ def test_connected_components_equal_union_find(spark, seed):
 # ---------------------------------------------------------------- repeated units
 
 
+def plain_units(text):
+    """(line of one sentence or more, start, end, words) of lines, and the same of sentences, by walking characters."""
+    lines, at = [], 0
+    for line in text.split("\n"):
+        sentences, start, i = [], 0, 0
+        while i < len(line):
+            if line[i] in ".!?" and (i + 1 == len(line) or (line[i + 1] not in ".!?" and line[i + 1].isspace())):
+                sentences.append((start, i + 1))
+                start = i + 1
+            i += 1
+        sentences.append((start, len(line)))
+        found = []
+        for a, b in sentences:
+            part = line[a:b]
+            if part.split():
+                found.append((at + a + len(part) - len(part.lstrip()), at + a + len(part.rstrip()), tuple(part.split())))
+        if found:
+            lines.append(found)
+        at += len(line) + 1
+    return lines
+
+
 def spans_brute(rows, line_words, run_words):
-    """Straight from the definition: first places by digest, then lines, then runs of sentences."""
-    every = []
+    """From the definition: the first place of each unit's words; then repeated long lines, then runs of repeats."""
+    first, docs = {}, []
     for row, (i, text) in enumerate(rows):
         key = 2**63 - 1 if i is None else i
-        every += [(kind, norm, key, row, start, end, line) for kind, line, start, end, norm in unit_dedup.units(text or "")]
-    first = {}
-    for kind, norm, key, row, start, *_ in every:
-        place = (key, row, start)
-        first[kind, norm] = min(first.get((kind, norm), place), place)
-    repeats = [u for u in every if first[u[0], u[1]] != (u[2], u[3], u[4])]
-    out, gone = [], set()
+        lines = plain_units(text or "")
+        docs.append((key, row, lines))
+        for found in lines:
+            whole = sum((x[2] for x in found), ())
+            for start, words_, many in [(found[0][0], whole, len(found) > 1)] + [(x[0], x[2], False) for x in found]:
+                place = (key, row, start, not many)
+                first[words_] = min(first.get(words_, place), place)
     null = lambda k: None if k == 2**63 - 1 else k
-    for kind, norm, key, row, start, end, line in repeats:
-        if kind == unit_dedup.LINE and len(norm.split()) >= line_words:
-            gone.add((row, line))
-            out.append((null(key), start, end, len(norm.split()), 1, null(first[kind, norm][0])))
-    lines = {}
-    for u in sorted((u for u in repeats if u[0] == unit_dedup.SENTENCE and (u[3], u[6]) not in gone), key=lambda u: (u[3], u[6], u[4])):
-        runs = lines.setdefault((u[3], u[6]), [])
-        if runs and u[4] - runs[-1][-1][5] <= 2:
-            runs[-1].append(u)
-        else:
-            runs.append([u])
-    for runs in lines.values():
+    out = []
+    for key, row, lines in docs:
+        runs, near = [], False
+        for found in lines:
+            whole = sum((x[2] for x in found), ())
+            many = len(found) > 1
+            if len(whole) >= line_words and first[whole] != (key, row, found[0][0], not many):
+                out.append((null(key), found[0][0], found[-1][1], len(whole), 1, null(first[whole][0])))
+                near = False
+                continue
+            for x in found:
+                # a line of one sentence that is long but no repeat is no part of a run either
+                if first[x[2]] != (key, row, x[0], True):
+                    if near:
+                        runs[-1].append(x)
+                    else:
+                        runs.append([x])
+                    near = True
+                else:
+                    near = False
         for run in runs:
-            n = sum(len(u[1].split()) for u in run)
+            n = sum(len(x[2]) for x in run)
             if n >= run_words:
-                out.append((null(run[0][2]), run[0][4], run[-1][5], n, len(run), null(first[run[0][0], run[0][1]][0])))
+                out.append((null(key), run[0][0], run[-1][1], n, len(run), null(first[run[0][2]][0])))
     return sorted(out, key=repr)
 
 
-def test_repeated_spans_equal_brute_force(spark):
+def repeats_rows():
     rng = random.Random(4)
     sentence = lambda n: words(rng, n).capitalize() + "."
     passage = " ".join(sentence(rng.randrange(4, 14)) for _ in range(8))
-    shared = sentence(9)
+    shared, short = sentence(23), sentence(6)
     rows = []
     for k in range(30):
         lines = [" ".join(sentence(rng.randrange(1, 12)) for _ in range(rng.randrange(1, 6))) for _ in range(4)]
         if k % 3 == 0:
             lines.insert(2, shared)
+        if k % 4 == 0:
+            lines.insert(1, short)
         if k % 5 == 0:
             lines[1] = lines[1][:-1] + " " + passage + " tail of " + lines[1]
         rows.append((k, "\n".join(lines)))
-    rows += [(40, None), (41, ""), (42, "\n \n"), (None, rows[3][1]), (7, rows[7][1]), (50, "no end of sentence here at all\tand  spaces"), (51, "no end of sentence here at all and spaces"), (52, "...!? . ?")]
-    got = [tuple(r) for r in unit_dedup.repeated_spans(frame(spark, rows).coalesce(1), 5, 20).collect()]
-    assert sorted(got, key=repr) == spans_brute(rows, 5, 20)
+    listed = "\n".join(sentence(5) for _ in range(7))
+    rows += [(33, f"Own start.\n{listed}"), (34, f"{listed}\n\nOwn end of it.")]
+    return rows + [(40, None), (41, ""), (42, "\n \n"), (None, rows[3][1]), (7, rows[7][1]), (50, "no end of sentence here at all\tand  spaces"), (51, "no end of sentence here at all and spaces"), (52, "...!? . ?")]
+
+
+@pytest.mark.parametrize("line_words", [5, 20])
+def test_repeated_spans_equal_brute_force(spark, line_words):
+    rows = repeats_rows()
+    got = [tuple(r) for r in unit_dedup.repeated_spans(frame(spark, rows).coalesce(1), line_words, 20, stretch=False).collect()]
+    assert sorted(got, key=repr) == spans_brute(rows, line_words, 20)
     assert {r[0] for r in got} >= {5, 10, 15, 20, 25}, "the passage is found wherever it was pasted"
+    assert 34 in {r[0] for r in got}, "short lines make a run"
+
+
+def without_spans(text, spans):
+    out, at = [], 0
+    for start, end in sorted(spans):
+        out.append(text[at:start])
+        at = max(at, end)
+    return "".join([*out, text[at:]])
+
+
+def test_repeats_are_removed_and_offsets_kept(spark):
+    rows = repeats_rows() + [(60, "é🙂 " + repeats_rows()[0][1] + " 🙂é")]
+    docs = spark.createDataFrame([(i, t, "x", k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, row string, id int").coalesce(1)
+    got = unit_dedup.remove_repeats(docs, stretch=False)
+    assert got.columns == [*docs.columns, "kept_spans"]
+    spans = {}
+    for i, a, b, *_ in spans_brute(rows, 20, 20):
+        spans.setdefault(i, []).append((a, b))
+    for r in got.collect():
+        original = rows[r.id][1]
+        assert r.row == "x" and r.doc_id == rows[r.id][0]
+        if r.doc_id != 7:
+            assert r.text == (None if original is None else without_spans(original, spans.get(r.doc_id, [])))
+        assert "".join(original[p.start_char : p.end_char] for p in r.kept_spans) == (r.text or "") if original else r.kept_spans == []
+    assert sum(len(r.text or "") for r in got.collect()) < sum(len(t or "") for _, t in rows)
+    assert unit_dedup.remove_repeats(docs.where("id < 0")).count() == 0
 
 
 def test_a_line_of_one_sentence_meets_the_sentence_inside_a_line(spark):
     licence = words(random.Random(8), 60) + "."
     rows = [(1, licence), (2, f"Before it. {licence} After it."), (3, f"x\n{licence}\ny"), (5, "Some day. Nine words of a line that comes later."), (6, "Nine words of a line that comes later.")]
-    got = sorted(tuple(r) for r in unit_dedup.repeated_spans(frame(spark, rows)).collect())
+    got = sorted(tuple(r) for r in unit_dedup.repeated_spans(frame(spark, rows), line_words=5).collect())
     n = len(licence)
     assert got == [(2, 11, 11 + n, 60, 1, 1), (3, 2, 2 + n, 60, 1, 1), (6, 0, 38, 8, 1, 5)]
 
@@ -265,7 +331,7 @@ def test_runs_stretch_over_cut_sentences(spark):
     later = f"{x} {head}.     {b}. {tail} {y}."
     edited = f"{x}. {' '.join(a)}. {b}. {' '.join(c[:18])} changed {' '.join(c[19:])}. {b}. {y}."
     rows = [(1, first), (2, later), (3, f"{b}. {y} {x}."), (4, edited)]
-    got = sorted(tuple(r) for r in unit_dedup.repeated_spans(frame(spark, rows), stretch=True).collect())
+    got = sorted(tuple(r) for r in unit_dedup.repeated_spans(frame(spark, rows)).collect())
     start = later.index(head)
     assert got[0] == (2, start, later.index(tail) + len(tail), 22 + 6 + 18, 1, 1)
     span = next(g for g in got if g[0] == 4)
@@ -274,11 +340,6 @@ def test_runs_stretch_over_cut_sentences(spark):
     assert not any(g[0] in (1, 3) for g in got)
 
 
-def test_cut_spans_are_the_repeats():
-    assert unit_dedup.without_spans("one two three", [(4, 8)]) == "one three"
-    assert unit_dedup.without_spans("abc", []) == "abc"
-
-
 @given(st.text("ab .!\n\té", max_size=60))
 def test_units_cover_all_words_in_order(text):
     found = list(unit_dedup.units(text))
