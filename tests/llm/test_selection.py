@@ -119,7 +119,9 @@ def test_mix_equals_brute_force(spark):
         taken[s] += r.taken
         most[s] = max(most[s], r.size)
     for s, t in target.items():
-        assert t - 2 * most[s] <= taken[s] <= t + 1e-6 and (most[s] > 1000 or taken[s] >= 0.97 * t), (s, t, taken[s])
+        # a source of one hot long document misses by up to half of it, others by half of a usual document
+        assert abs(taken[s] - t) <= most[s] / 2 + 1e-6, (s, t, taken[s])
+        assert most[s] > 1000 or abs(taken[s] - t) <= 0.02 * t, (s, t, taken[s])
     assert own and sorted(map(tuple, got), key=repr) == sorted(map(tuple, mixture.mix(frame(spark, rows[::-1]).repartition(5)).collect()), key=repr), "reruns agree"
 
 
@@ -179,6 +181,26 @@ def test_contaminated_equals_brute_force(spark):
     assert Counter(r.doc_id for r in clean.collect()) == Counter(i for i, t, _ in rows if (i, t) not in bad)
 
 
+def test_a_common_shingle_alone_makes_no_candidate(spark):
+    """Items of many shingles need several hashes of their sketch; the numbers never lose an item that is contained."""
+    text = lambda k, n: " ".join(f"{k}x{j}" for j in range(n))
+    items = spark.createDataFrame([(n, text("i", n)) for n in range(5, 200)], "item_id long, text string")
+    by_item = {}
+    for r in containment.item_sketches(items).collect():
+        by_item.setdefault((r.n, r.need, r.partition), set()).add(r.hash)
+    assert len(by_item) == 195
+    for (n, need, partition), sketch in by_item.items():
+        assert 2 ** (partition - 1) < n <= 2**partition
+        assert need == len(sketch) - n * 20 // 100 >= 1, "what may be missing leaves as many as are needed"
+        assert n < 60 or need > 5
+
+
+def test_items_that_share_an_id_are_items_of_their_own(spark):
+    items = spark.createDataFrame([(1, "a b c d e f"), (1, "k l m n o p"), (None, "q r s t u v")], "item_id long, text string")
+    docs = frame(spark, [(1, "x a b c d e f", "s"), (2, "k l m n o p y", "s"), (3, "z q r s t u v", "s"), (4, "a b c x k l m", "s")])
+    assert sorted((r.doc_id, r.item_id or 0) for r in containment.contaminated(docs, items).collect()) == [(1, 1), (2, 1), (3, 0)]
+
+
 def test_nothing_to_decontaminate(spark):
     none, bench = frame(spark, []), spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
     assert containment.contaminated(none, bench).count() == 0
