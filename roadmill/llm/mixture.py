@@ -3,11 +3,11 @@
 Every document has a 36-bit hash. Sizes are summed by source and the hash's first 12 bits; where the running
 sum passes a source's budget lies the boundary bucket, and only its rows are summed again by the next 12
 bits, then by the last 12. The result is one threshold per source, and documents below it are taken: no sort,
-no gather. Targets above a source's size take every document once and spend the rest the same way. A source's long,
+no gather. The document at the threshold is taken too where that comes nearer to the budget. Targets above a source's size take every document once and spend the rest the same way. A source's long,
 middling and short documents have thresholds of their own, in this order, each making up for what the ones before
 left of the budget.
 
-Nulls and ties: a null text has size 0; a null source is a source of its own, the last; rows that agree in id,
+Nulls and ties: a null text has size 0; very long texts are counted whole; a null source is a source of its own, the last; rows that agree in id,
 source and text share a hash, and are taken or left together. Empty tables and sources of size 0 give target
 0 and taken 0. Columns of the input other than those named are carried by `take`, with any names.
 """
@@ -58,8 +58,8 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float
 
 
 def _thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
-    """rows(src, size, h) and budgets(src, left double): (src, cut): documents with h < cut come to no more than
-    the budget, and with those of the next hash they would."""
+    """rows(src, size, h) and budgets(src, left double): (src, cut): documents with h < cut come as near to the budget
+    as a threshold can; of equally near ones the lesser."""
     state = budgets.select("src", "left", F.lit(0).cast("long").alias("cut"))
     for step in (2, 1, 0):
         width = 1 << (BITS * step)
@@ -71,10 +71,12 @@ def _thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
         run = sums.withColumn("upto", F.sum("n").over(Window.partitionBy("src").orderBy("bucket"))).join(state, "src")
         found = run.groupBy("src").agg(
             F.max(F.when(F.col("upto") <= F.col("left"), F.col("upto"))).alias("spent"),
-            F.min(F.when(F.col("upto") > F.col("left"), F.col("bucket"))).alias("at"),
+            F.min(F.when(F.col("upto") > F.col("left"), F.struct("bucket", "n"))).alias("at"),
         )
         past = F.col("cut") + F.lit(width << BITS)  # no bucket passes the budget: everything inside is taken
-        state = scratch(state.join(found, "src", "left").select("src", (F.col("left") - F.coalesce(F.col("spent"), F.lit(0))).alias("left"), F.coalesce(F.col("at") * width, past).alias("cut")), f"mix-cuts-{step}")
+        left = F.col("left") - F.coalesce(F.col("spent"), F.lit(0))
+        nearer = F.when(F.col("at.n") < 2 * left, 1).otherwise(0) if step == 0 else F.lit(0)
+        state = scratch(state.join(found, "src", "left").select("src", left.alias("left"), F.coalesce(F.col("at.bucket") * width + nearer, past).alias("cut")), f"mix-cuts-{step}")
     return state.select("src", "cut")
 
 

@@ -115,26 +115,31 @@ with p as (
   select (coalesce(sum(x), 0) + 0.5::double) / (coalesce(sum(n), 0) + 1.0::double) as m0 from s
 ), ks as (
   select case when b > 0 then least(greatest(a / b, 0.001::double), 0.999::double) else 0.001::double end as rho from (
-    select sum((x - n * m0) * (x - n * m0) / (m0 * (1 - m0)) - n) as a, sum(n * (n - 1)) as b from s, m where n > 0 and m0 > 0 and m0 < 1)
+    select sum(((x - n * m0) * (x - n * m0) / (m0 * (1 - m0)) - n) / n) as a, sum(n - 1) as b from s, m where n > 1 and m0 > 0 and m0 < 1)
 ), s1 as (
   select suf, (m0 * (1 - rho) / rho + x) / (n + (1 - rho) / rho) as m1 from s, m, ks
 ), d0 as (
   select d.*, m1 from d join s1 using (suf)
 ), kd as (
   select case when b > 0 then least(greatest(a / b, 0.001::double), 0.999::double) else 0.001::double end as rho from (
-    select sum((x - n * m1) * (x - n * m1) / (m1 * (1 - m1)) - n) as a, sum(n * (n - 1)) as b from d0 where n > 0 and m1 > 0 and m1 < 1)
+    select sum(((x - n * m1) * (x - n * m1) / (m1 * (1 - m1)) - n) / n) as a, sum(n - 1) as b from d0 where n > 1 and m1 > 0 and m1 < 1)
 ), d1 as (
   select dom, suf, (m1 * (1 - rho) / rho + x) / (n + (1 - rho) / rho) as m2 from d0, kd
 ), h1 as (
   select h.*, m2 from h join d1 using (dom, suf)
 ), kh as (
   select case when b > 0 then least(greatest(a / b, 0.001::double), 0.999::double) else 0.001::double end as rho from (
-    select sum((x - n * m2) * (x - n * m2) / (m2 * (1 - m2)) - n) as a, sum(n * (n - 1)) as b from h1 where n > 0 and m2 > 0 and m2 < 1)
-), r as (
-  select host, mean, mean + 1.6448536269514722::double * sqrt(mean * (1 - mean) / (size + 1)) as up from (
+    select sum(((x - n * m2) * (x - n * m2) / (m2 * (1 - m2)) - n) / n) as a, sum(n - 1) as b from h1 where n > 1 and m2 > 0 and m2 < 1)
+), r0 as (
+  select host, mean, mean * size as a, (1 - mean) * size as b from (
     select host, (m2 * (1 - rho) / rho + x) / (n + (1 - rho) / rho) as mean, n + (1 - rho) / rho as size from h1, kh)
+), r1 as (
+  select host, a, b, i, sum(case when i = 0 then 0 else ln((a + b + i - 1) / (a + i) * 0.5::double) end) over (partition by host order by i) as l from r0, range(0, 6000) t(i)
+), r as (
+  select host, any_value(mean) as mean, exp(lgamma(any_value(r0.a) + any_value(r0.b)) - lgamma(any_value(r0.a)) - lgamma(any_value(r0.b)) + (any_value(r0.a) + any_value(r0.b)) * ln(0.5::double) - ln(any_value(r0.a)) + ln(sum(exp(l - top))) + any_value(top)) as bad
+  from r0 join (select *, max(l) over (partition by host) as top from r1) using (host) group by host
 ), v as (
-  select page_id, host, path, mean, up,
+  select page_id, host, path, mean, bad,
     case when (host = 'www.example.com' or host like '%.www.example.com') and starts_with(path, '/en/') then 'www.example.com/en/'
          when (host = 'example.com' or host like '%.example.com') and starts_with(path, '/en/') then 'example.com/en/'
          when (host = 'net' or host like '%.net') and starts_with(path, '/es/') then 'net/es/'
@@ -143,8 +148,8 @@ with p as (
   from j join r using (host)
 )
 select page_id, host, path, rule,
-  case when rule in ('www.example.com/en/', 'com/') then 'allow' when rule is not null then 'block' when up < 0.5 then 'block' else 'allow' end as verdict,
-  round(mean, 6) as posterior_mean, round(up, 6) as posterior_upper from v
+  case when rule in ('www.example.com/en/', 'com/') then 'allow' when rule is not null then 'block' when bad > 0.95 then 'block' else 'allow' end as verdict,
+  round(mean, 6) as posterior_mean, round(bad, 6) as posterior_bad from v
 """
 
 _OP6 = r"""
@@ -176,15 +181,16 @@ with r as (
 ), t as (
   select src, coalesce(sum(size) filter (stratum <= 0), 0)::bigint as upto0, coalesce(sum(size) filter (stratum <= 1), 0)::bigint as upto1, sum(size)::bigint as upto2 from c group by 1
 ), u as (
-  select *, sum(size) over (partition by src, stratum order by h range between unbounded preceding and current row) as upto from c
+  select *, sum(size) over (partition by src, stratum order by h range between unbounded preceding and current row) as upto, sum(size) over (partition by src, stratum, h) as here from c
 ), g0 as (
   select g.*, upto0, upto1, upto2, rest * upto0 as left0 from g join t using (src)
 ), g1 as (
-  select g0.*, rest * upto1 - coalesce((select max(upto) from u where u.src = g0.src and stratum = 0 and upto <= left0), 0) as left1 from g0
+  select g0.*, rest * upto1 - coalesce((select max(upto) from u where u.src = g0.src and stratum = 0 and (upto <= left0 or 2 * upto - here < 2 * left0)), 0) as left1 from g0
 ), g2 as (
-  select g1.*, rest * upto2 - coalesce((select max(upto) from u where u.src = g1.src and stratum = 0 and upto <= left0), 0) - coalesce((select max(upto) from u where u.src = g1.src and stratum = 1 and upto <= left1), 0) as left2 from g1
+  select g1.*, rest * upto2 - coalesce((select max(upto) from u where u.src = g1.src and stratum = 0 and (upto <= left0 or 2 * upto - here < 2 * left0)), 0) - coalesce((select max(upto) from u where u.src = g1.src and stratum = 1 and (upto <= left1 or 2 * upto - here < 2 * left1)), 0) as left2 from g1
 )
-select doc_id, size, source_size, target, size * least(whole + (upto <= case stratum when 0 then left0 when 1 then left1 else left2 end)::bigint, 2) as taken from u join g2 using (src)
+select doc_id, size, source_size, target, size * least(whole + (upto <= goal or 2 * upto - here < 2 * goal)::bigint, 2) as taken
+from (select u.*, source_size, target, whole, case stratum when 0 then left0 when 1 then left1 else left2 end as goal from u join g2 using (src))
 """
 
 _OP7 = r"""

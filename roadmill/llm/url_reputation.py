@@ -1,23 +1,29 @@
 """URL filter: rules first, then empirical-Bayes host reputation.
 
-Labelled page outcomes are counted by host. Three beta-binomial levels (suffix under the whole, registered
-domain under its suffix, host under its domain) each get a prior strength from the method of moments; a
-host's posterior mean is shrunk towards its domain's, that towards its suffix's, and that towards the mean
-of all. A host is blocked if the upper posterior bound of its share of good pages is under `least`.
-
-Nulls and ties: a null url, or one without "://", has host '' and path ''; hosts without outcomes take their
-domain's prior; null outcomes don't count. Empty tables give empty results. Columns of the input other than
-those named are not read.
+Labelled page outcomes are counted by host, once. Three beta-binomial levels (suffix under the whole, registered
+domain under its suffix, host under its domain) each get a prior strength from the method of moments, in which a group
+counts by its labels less one, so that a hot host decides no more than its share of labels; a host's posterior is a
+beta distribution about its domain's mean, that about its suffix's, and that about the mean of all. A host is blocked
+if its share of good pages is below `least` with a posterior probability above `sure`, that is, if the upper `sure`
+quantile of the beta posterior is below `least`.
+
+Nulls and ties: a null url, or one without "://", has host '' and path ''; very long urls are read whole; hosts without
+outcomes take their domain's prior; null outcomes don't count. Empty tables give empty results. Columns of the input
+other than those named are not read.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower
+from .common import ascii_lower, scratch
 
 #: A country suffix with a generic second label counts as one suffix (co.uk).
 _SUFFIX = r"(?:^|\.)((?:co|com|ac|gov|org|net)\.[a-z]{2}|[^.]+)$"
@@ -58,26 +64,49 @@ def match_rules(host: Column, path: Column, rules: list[Rule]) -> tuple[Column,
     return rule, verdict
 
 
+def beta_below(x: float, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """P(theta < x) of beta distributions, by the continued fraction of the incomplete beta function, taken from the side
+    where it ends soon."""
+    a, b = np.asarray(a, float), np.asarray(b, float)
+    far = x > (a + 1) / (a + b + 2)
+    p, q, at = np.where(far, b, a), np.where(far, a, b), np.where(far, 1 - x, x)
+    logs = np.array([math.lgamma(i + j) - math.lgamma(i) - math.lgamma(j) for i, j in zip(p.tolist(), q.tolist(), strict=True)]).reshape(p.shape)
+    front = np.exp(logs + p * np.log(at) + q * np.log1p(-at)) / p
+    tiny = 1e-300
+    c, d = np.ones_like(p), 1 - (p + q) * at / (p + 1)
+    d = 1 / np.where(np.abs(d) < tiny, tiny, d)
+    out = d.copy()
+    for m in range(1, 100_000):
+        change = np.ones_like(out)
+        for term in (m * (q - m) * at / ((p + 2 * m - 1) * (p + 2 * m)), -(p + m) * (p + q + m) * at / ((p + 2 * m) * (p + 2 * m + 1))):
+            d, c = 1 + term * d, 1 + term / c
+            d, c = 1 / np.where(np.abs(d) < tiny, tiny, d), np.where(np.abs(c) < tiny, tiny, c)
+            change = change * d * c
+            out = out * (d * c)
+        if not np.any(np.abs(change - 1) > 1e-14):
+            break
+    found = front * out
+    return np.where(far, 1 - found, found)
+
+
 def _strength(df: DataFrame, mean: str) -> float:
-    """Prior strength k = (1 - rho) / rho, rho from the pooled second moment about each group's prior mean."""
+    """Prior strength k = (1 - rho) / rho, rho from each group's second moment about its prior mean, weighted by n - 1."""
     m, n, x = F.col(mean), F.col("n"), F.col("x")
-    row = df.where((n > 0) & (m > 0) & (m < 1)).agg(
-        F.sum((x - n * m) * (x - n * m) / (m * (1 - m)) - n).alias("a"), F.sum(n * (n - 1)).alias("b")
+    row = df.where((n > 1) & (m > 0) & (m < 1)).agg(
+        F.sum(((x - n * m) * (x - n * m) / (m * (1 - m)) - n) / n).alias("a"), F.sum(n - 1).alias("b")
     ).first()
     rho = row.a / row.b if row.b else 0.0
     rho = min(max(rho, 1e-3), 0.999)
     return (1 - rho) / rho
 
 
-def host_reputation(outcomes: DataFrame, z: float = 1.6448536269514722) -> DataFrame:
-    """outcomes(host, good 0/1/null): one row per host with n, x, posterior mean, and bounds mean -+ z sd."""
-    hosts = (
-        outcomes.groupBy("host")
-        .agg(F.count("good").cast("double").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).cast("double").alias("x"))
-        .withColumns({"domain": registered_domain(F.col("host")), "suffix": suffix(F.col("host"))})
-    )
-    domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("x").alias("x"))
-    suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("x").alias("x"))
+def host_reputation(outcomes: DataFrame, least: float = 0.5) -> DataFrame:
+    """outcomes(host, good 0/1/null): one row per host with n, x, the posterior mean and `bad`, the posterior probability
+    that the share of good pages is below `least`. Outcomes are read once; what follows reads a row per host."""
+    hosts = outcomes.groupBy("host").agg(F.count("good").cast("double").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).cast("double").alias("x"))
+    hosts = scratch(hosts.withColumns({"domain": registered_domain(F.col("host")), "suffix": suffix(F.col("host"))}), "reputation-hosts")
+    domains = scratch(hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("x").alias("x")), "reputation-domains")
+    suffixes = scratch(domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("x").alias("x")), "reputation-suffixes")
     row = suffixes.agg(F.sum("n").alias("n"), F.sum("x").alias("x")).first()
     whole = ((row.x or 0.0) + 0.5) / ((row.n or 0.0) + 1.0)
 
@@ -90,22 +119,26 @@ def host_reputation(outcomes: DataFrame, z: float = 1.6448536269514722) -> DataF
     domains = shrunk(domains, "m1", "m2", _strength(domains, "m1"))
     hosts = hosts.join(domains.select("domain", "suffix", "m2"), ["domain", "suffix"])
     k = _strength(hosts, "m2")
-    hosts = shrunk(hosts, "m2", "mean", k)
-    size = F.col("n") + k
-    sd = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (size + 1))
-    return hosts.withColumns({"lower": F.col("mean") - z * sd, "upper": F.col("mean") + z * sd})
+    posterior = shrunk(hosts, "m2", "mean", k).withColumn("size", F.col("n") + k).select("host", "n", "x", "mean", "size")
+
+    def below(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            mean, size = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("mean", "size"))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(beta_below(least, mean * size, (1 - mean) * size))], names=[*batch.schema.names, "bad"])
+
+    return posterior.mapInArrow(below, "host string, n double, x double, mean double, size double, bad double")
 
 
-def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: list[Rule], least: float = 0.5) -> DataFrame:
+def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: list[Rule], least: float = 0.5, sure: float = 0.95) -> DataFrame:
     """pages(page_id, url) with host, path, rule, verdict, and the posterior that the verdict rests on.
     outcomes(host, good) may name hosts that no page has. The join is on host: AQE splits a hot one."""
     host, path = url_parts(F.col("url"))
     judged = pages.select("page_id", host.alias("host"), path.alias("path"))
     seen = judged.select("host", F.lit(None).cast("int").alias("good")).unionByName(outcomes.select("host", F.col("good").cast("int")))
-    reputation = host_reputation(seen).select("host", "mean", "lower", "upper")
+    reputation = scratch(host_reputation(seen, least).select("host", "mean", "bad"), "reputation")
     rule, verdict = match_rules(F.col("host"), F.col("path"), rules)
-    method = F.when(F.col("upper") < least, "block").otherwise("allow")
+    method = F.when(F.col("bad") > sure, "block").otherwise("allow")
     return judged.join(reputation, "host", "left").select(
         "page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, method).alias("verdict"),
-        F.round("mean", 6).alias("posterior_mean"), F.round("upper", 6).alias("posterior_upper"),
+        F.round("mean", 6).alias("posterior_mean"), F.round("bad", 6).alias("posterior_bad"),
     )

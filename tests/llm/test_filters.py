@@ -46,14 +46,64 @@ def test_registered_domains(spark, host, domain, end):
 def test_reputation_shrinks_towards_the_domain_and_blocks_what_is_surely_bad(spark):
     rows = [("good.a.com", 1)] * 200 + [("bad.b.com", 0)] * 200 + [("bad.b.com", 1)] * 4 + [("new.b.com", 0)] + [("new.a.com", 0)] + [("none.org", None)] + [(f"h{k}.c.net", k % 2) for k in range(40)]
     found = {r.host: r for r in url_reputation.host_reputation(spark.createDataFrame(rows, "host string, good int")).collect()}
-    assert found["good.a.com"].mean > 0.95 and found["bad.b.com"].upper < 0.1
+    assert found["good.a.com"].mean > 0.95 and found["good.a.com"].bad < 1e-9 and found["bad.b.com"].bad > 0.999999
     assert found["new.b.com"].mean < found["new.a.com"].mean
-    assert found["none.org"].n == 0 and found["none.org"].lower < 0.5 < found["none.org"].upper
+    assert found["none.org"].n == 0 and 0.05 < found["none.org"].bad < 0.95
     pages = spark.createDataFrame([(1, "http://bad.b.com/x", 5), (2, "http://good.a.com/x", 5), (3, "http://unseen.org/", 5), (None, None, 5), (1, "http://bad.b.com/x", 5)], "page_id long, url string, host int")
     got = sorted((r.page_id or 0, r.verdict) for r in url_reputation.judge_urls(pages, spark.createDataFrame(rows, "host string, good int"), []).collect())
     assert got == [(0, "allow"), (1, "block"), (1, "block"), (2, "allow"), (3, "allow")]
 
 
+@pytest.mark.parametrize("a,b", [(0.3, 0.4), (1, 1), (2.5, 7), (40, 3), (0.3, 5), (300, 320), (1, 5000), (8000, 8100)])
+def test_beta_distribution_equals_numeric_integration(a, b):
+    # theta = s**4 takes the pole at 0 away, and 1 - s**4 the one at 1
+    def mass(p, q, upto):
+        s = (np.arange(400_000) + 0.5) / 400_000 * upto**0.25
+        t = s**4
+        logs = math.lgamma(p + q) - math.lgamma(p) - math.lgamma(q) + (p - 1) * np.log(t) + (q - 1) * np.log1p(-t) + np.log(4 * s**3)
+        return float(np.exp(logs).sum() * upto**0.25 / 400_000)
+
+    for x in (0.2, 0.5, 0.7):
+        found = url_reputation.beta_below(x, np.array([a]), np.array([b]))[0]
+        expected = mass(a, b, x) if x <= 0.5 else 1 - mass(b, a, 1 - x)
+        assert abs(found - expected) < 1e-5
+
+
+def test_a_hot_host_does_not_save_bad_ones(spark):
+    rows = [(f"h{k}.x{k}.com", int(j < 17)) for k in range(57) for j in range(20)] + [(f"b{k}.y{k}.com", 0) for k in range(3) for _ in range(20)]
+    hot = rows + [("hot.z.com", int(j < 510)) for j in range(600)]
+    for labels in (rows, hot):
+        found = {r.host: r.bad for r in url_reputation.host_reputation(spark.createDataFrame(labels, "host string, good int")).collect()}
+        assert all(found[f"b{k}.y{k}.com"] > 0.95 for k in range(3)) and all(found[f"h{k}.x{k}.com"] < 0.01 for k in range(57))
+
+
+def test_the_query_blocks_hosts_of_bad_pages_as_its_sql_does(spark, tmp_path):
+    import duckdb
+
+    rng = random.Random(5)
+    pages, labels = [], []
+    for k in range(900):
+        host = rng.choice([f"h{rng.randrange(30)}.site{rng.randrange(8)}.{rng.choice(['org', 'net', 'co.uk', 'com'])}"] + ["hot.big.org"])
+        bad = host.split(".")[1] in ("site3", "site5")
+        pages.append((k, f"http://{host}/a/{k}"))
+        if k % 3:
+            labels.append((k, int(rng.random() < (0.02 if bad else 0.95))))
+    spark.createDataFrame([*pages, (None, None)], "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame([*labels, (None, 1)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = queries.op1_host_reputation(spark, str(tmp_path))
+    rows = [tuple(r) for r in got.collect()]
+    db = duckdb.connect()
+    for name in ("pages", "labels"):
+        db.execute(f"create view {name} as select * from '{tmp_path}/{name}.parquet/*.parquet'")
+    found = db.execute(queries.oracle_sql()["op1_host_reputation"])
+    assert [d[0] for d in found.description] == got.columns
+    assert sorted(rows, key=repr) == sorted(found.fetchall(), key=repr)
+    judged = [(r[1], r[4]) for r in rows if r[3] is None]
+    bad = [v for h, v in judged if h and h.split(".")[1] in ("site3", "site5")]
+    assert bad.count("block") > 0.9 * len(bad) > 50
+    assert all(v == "allow" for h, v in judged if not h or h.split(".")[1] not in ("site3", "site5"))
+
+
 def test_reputation_without_pages_or_labels(spark):
     pages, outcomes = spark.createDataFrame([], "page_id long, url string"), spark.createDataFrame([], "host string, good int")
     assert url_reputation.judge_urls(pages, outcomes, queries.RULES).count() == 0
