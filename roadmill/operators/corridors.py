@@ -2,7 +2,7 @@
 
 A corridor is drafted per route group (highway, root relation, direction). Filling gaps is a loop whose every step
 depends on the last, so a group is one Arrow-backed function; groups are independent. A group gets its own ways and the
-ways of the connector graph's components that its nodes lie in.
+ways near them, and again with a wider reach if a search went beyond it.
 """
 
 from __future__ import annotations
@@ -195,48 +195,45 @@ def without_micro_segments(lines: list[list[Point]]) -> list[list[Point]]:
     return [p for p, m in zip(lines, lengths, strict=True) if m >= routes.MICRO_M or m >= longest * routes.MICRO_SHARE]
 
 
-def draft(highway: str, direction: str | None, members: list[int], ways: dict[int, Way]) -> tuple[set[int], list[list[Point]]] | None:
+def draft(highway: str, direction: str | None, members: list[int], ways: dict[int, Way], net: graph.Connectors | None = None) -> tuple[set[int], list[list[Point]]] | None:
     """(assigned ways, lines) of a group; null if it has no known way or less than 3 km."""
     order = ordered_members(members, ways)
     if not order:
         return None
-    net, unassigned = graph.Connectors(a for w in ways.values() for a in w.arcs()), direction is None
+    net, unassigned = net or graph.Connectors(a for w in ways.values() for a in w.arcs()), direction is None
     assigned = fill_pair_gaps(order, set(order), ways, net, unassigned)
     assigned = fill_component_gaps(highway, assigned, ways, net, unassigned)
     lines = without_micro_segments(route_segments([ways[i] for i in assigned], direction or "north"))
     return (assigned, lines) if sum(map(_length, lines)) >= LEAST_ROUTE_M else None
 
 
-DRAFT = "group_order int, highway string, root_relation_id long, direction string, way_ids array<long>, lines array<array<struct<lat:double,lon:double>>>"
+DRAFT = "group_order int, highway string, root_relation_id long, direction string, way_ids array<long>, lines array<array<struct<lat:double,lon:double>>>, sure boolean"
 
 
-def corridor_drafts(groups: DataFrame, ways: DataFrame) -> DataFrame:
+def corridor_drafts(groups: DataFrame, ways: DataFrame, checkpoint=lambda df: df.checkpoint()) -> DataFrame:
     """Drafts of groups(group_order, highway, root_relation_id, direction, members) over ways of all classes, numbered
     corridor_id in group order; without a direction a corridor counts as north."""
-    steps = graph.directed_arcs(graph.way_steps(ways)).select(F.lit("").alias("route"), "src", "dst")
-    parts = graph.components(steps).select("node", "component")
-    placed = ways.join(parts, F.element_at("node_ids", 1) == F.col("node")).drop("node")
-    wanted = groups.select("group_order", F.explode("members.way_id").alias("way_id")).distinct()
-    touched = wanted.join(placed.select("way_id", "component"), "way_id").select("group_order", "component").distinct()
-    offered = touched.join(placed, "component").drop("component")
-    plain = groups.select(F.col("group_order").alias("group_order"), "highway", "root_relation_id", "direction", F.col("members.way_id").alias("member_ids"))
-
-    def group(key, g: pd.DataFrame, w: pd.DataFrame) -> pd.DataFrame:
-        names = [c.split()[0] for c in DRAFT.split(", ")[:5]] + ["lines"]
-        if not len(g):
-            return pd.DataFrame(columns=names)
-        row = g.iloc[0]
-        known = {int(r.way_id): Way(r.way_id, r.kind, r.refs, r.node_ids, [(p["lat"], p["lon"]) for p in r.points], r.oneway) for r in w.itertuples()}
-        going = row["direction"] if isinstance(row["direction"], str) else None
-        found = draft(row["highway"], going, [int(m) for m in row["member_ids"]], known)
-        if found is None:
-            return pd.DataFrame(columns=names)
-        lines = [[{"lat": a, "lon": b} for a, b in line] for line in found[1]]
-        return pd.DataFrame([(int(row["group_order"]), row["highway"], int(row["root_relation_id"]), going or "north", sorted(found[0]), lines)], columns=names)
-
-    # names of its own, as both sides come from groups
-    offered = offered.select(F.col("group_order").alias("offered_to"), "way_id", F.col("highway").alias("kind"), "refs", "node_ids", "points", "oneway")
-    drafts = plain.groupBy("group_order").cogroup(offered.groupBy("offered_to")).applyInPandas(group, DRAFT)
+    plain = groups.select("group_order", "highway", "root_relation_id", "direction", F.col("members.way_id").alias("member_ids"))
+    members = checkpoint(groups.select("group_order", F.explode("members.way_id").alias("way_id")).distinct())
+
+    def run(offered: DataFrame, reach: float | None) -> DataFrame:
+        def group(key, g: pd.DataFrame, w: pd.DataFrame) -> pd.DataFrame:
+            names = [c.split()[0] for c in DRAFT.split(", ")[:5]] + ["lines", "sure"]
+            if not len(g) or not len(w):
+                return pd.DataFrame(columns=names)
+            row = g.iloc[0]
+            known = {int(r.way_id): Way(r.way_id, r.kind, r.refs, r.node_ids, [(p["lat"], p["lon"]) for p in r.points], r.oneway) for r in w.itertuples()}
+            going = row["direction"] if isinstance(row["direction"], str) else None
+            net = graph.Connectors((a for x in known.values() for a in x.arcs()), reach)
+            found = draft(row["highway"], going, [int(m) for m in row["member_ids"]], known, net)
+            lines = [[{"lat": a, "lon": b} for a, b in line] for line in found[1]] if found else None
+            return pd.DataFrame([(int(row["group_order"]), row["highway"], int(row["root_relation_id"]), going or "north", sorted(found[0]) if found else None, lines, net.sure)], columns=names)
+
+        # names of its own, as both sides come from groups
+        near = offered.join(ways, "way_id").select(F.col("group_order").alias("offered_to"), "way_id", F.col("highway").alias("kind"), "refs", "node_ids", "points", "oneway")
+        return plain.groupBy("group_order").cogroup(near.groupBy("offered_to")).applyInPandas(group, DRAFT)
+
+    drafts = graph.by_reach(members, ways, "group_order", run, checkpoint).where("lines is not null")
     return drafts.withColumn("corridor_id", F.row_number().over(Window.orderBy("group_order"))).withColumnRenamed("direction", "canonical_direction")
 
 
@@ -300,8 +297,8 @@ def corridor_exits(drafts: DataFrame, entries: DataFrame, all_exits: DataFrame,
     found = checkpoint(found.unionByName(exit_ops.sibling_exits(found, all_exits)))
     lines = drafts.select("corridor_id", "highway", "lines")
     found = checkpoint(found.unionByName(exit_ops.nearby_exits(found, all_exits, lines)))
-    same_ref = ways.select(F.explode("refs").alias("highway"), "points").join(names, "highway").groupBy("corridor_id", "highway").agg(F.collect_list("points").alias("lines"))
-    found = checkpoint(found.unionByName(exit_ops.nearby_exits(found, all_exits, same_ref)))
+    same_ref = ways.select(F.explode("refs").alias("highway"), "points").join(names, "highway").select("corridor_id", "highway", "points")
+    found = checkpoint(found.unionByName(exit_ops.exits_near_lines(found, all_exits, same_ref)))
     for step in (exit_ops.split_semicolon_refs, exit_ops.expand_letter_ranges, exit_ops.expand_comma_refs, exit_ops.merge_letter_refs):
         found = checkpoint(step(found))
     return exit_ops.order_along_route(exit_ops.inherit_rest_area_names(found, rest_area_names), lines)

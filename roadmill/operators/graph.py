@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import heapq
 from collections import defaultdict
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pandas as pd
@@ -146,11 +146,6 @@ def components(arcs: DataFrame, key: str = "route") -> DataFrame:
     return links.groupBy(key).applyInPandas(group, f"{key} string, node long, component int")
 
 
-def renumber_components(rows: DataFrame, key: str = "route") -> DataFrame:
-    """Component ids made dense again after some went."""
-    return rows.withColumn("component", (F.dense_rank().over(Window.partitionBy(key).orderBy("component")) - 1).cast("int"))
-
-
 def stable_component_ids(fresh: dict[int, set[int]], old_by_node: dict[int, set[int] | int], greatest: int) -> tuple[dict[int, int], list[tuple[int, int]]]:
     """Ids for fresh components of earlier ones that share nodes: the least earlier id, earlier ids that meet being
     merged into it; new ones count on from the greatest. Returns ids and merges (from, into)."""
@@ -181,9 +176,13 @@ def stable_component_ids(fresh: dict[int, set[int]], old_by_node: dict[int, set[
 
 
 class Connectors:
-    """Weighted arcs by start; of arcs with one start, ties go by weight, then way."""
+    """Weighted arcs by start; of arcs with one start, ties go by weight, then way. With `reach` the arcs are those of the
+    ways within so many metres of the sources alone; `sure` then says whether every search so far stayed so near that
+    ways farther off could not have changed it: a point at cost c is no farther than 1.5 c, as a step of less than a
+    metre and a half counts as one metre."""
 
-    def __init__(self, arcs: Iterable[tuple[int, int, int, int]]):
+    def __init__(self, arcs: Iterable[tuple[int, int, int, int]], reach: float | None = None):
+        self.reach, self.sure = reach, True
         self.at: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
         for src, dst, weight, way in sorted(arcs, key=lambda a: (a[0], a[2], a[3], a[1])):
             self.at[src].append((dst, weight, way))
@@ -200,6 +199,7 @@ class Connectors:
             node = -node
             if c > cost[node]:
                 continue
+            self.sure = self.sure and (self.reach is None or 1.5 * c <= self.reach)
             if node in targets and node not in sources:
                 ways: list[int] = []
                 while node not in sources:
@@ -214,7 +214,6 @@ class Connectors:
                     heapq.heappush(heap, (total, -dst))
         return None
 
-
     def nearest_part(self, parts: list[set[int]]) -> int | None:
         """The component from which the cheapest path to another one starts; of several the first. One search from all
         components at once: a node keeps its two nearest components, as one of them may be the path's end."""
@@ -228,6 +227,7 @@ class Connectors:
             if k in known or len(known) == 2:
                 continue
             seen[node] = (*known, k)
+            self.sure = self.sure and (self.reach is None or 1.5 * c <= self.reach)
             if part_of.get(node, k) != k:
                 return k
             for dst, weight, _ in self.at.get(node, ()):
@@ -262,28 +262,84 @@ def adopt_connectors(assigned: set[int], ways: dict[int, list[int]], net: Connec
     return assigned
 
 
-def adopt_connector_paths(assigned: DataFrame, ways: DataFrame, classes: Iterable[str] = HIGH_CLASSES) -> DataFrame:
+def linked_components(links: DataFrame, checkpoint=lambda df: df.checkpoint()) -> DataFrame:
+    """(node, component) of links(src, dst), without a key: component is the least node that is reachable. In a round
+    every node takes the least label near it, and labels take the label of the node that they name, so chains end in a
+    logarithmic number of rounds; no node, key or component is gathered."""
+    both = checkpoint(links.select(F.col("src").alias("node"), F.col("dst").alias("other")).unionByName(links.select(F.col("dst").alias("node"), F.col("src").alias("other"))).distinct())
+    labels = checkpoint(both.groupBy("node").agg(F.min("other").alias("least")).select("node", F.least("node", "least").alias("label")))
+    while True:
+        near = both.join(labels.select(F.col("node").alias("other"), "label"), "other").groupBy("node").agg(F.min("label").alias("near"))
+        hooked = labels.join(near, "node").withColumn("new", F.least("label", "near"))
+        # the node that a label names takes what its members have found
+        told = hooked.groupBy("label").agg(F.min("new").alias("told")).select(F.col("label").alias("node"), "told")
+        hooked = hooked.join(told, "node", "left").select("node", "label", F.least("new", F.coalesce("told", "new")).alias("new"))
+        up = hooked.select(F.col("node").alias("new"), F.col("new").alias("above"))
+        fresh = checkpoint(hooked.join(up, "new").select("node", F.least("new", "above").alias("new"), "label"))
+        labels = fresh.select("node", F.col("new").alias("label"))
+        if not fresh.where("new <> label").limit(1).count():
+            return labels.withColumnRenamed("label", "component")
+
+
+#: Metres round a group's own ways within which connectors are offered, pass by pass; at last all that are connected.
+REACHES = (16_000.0, 128_000.0, None)
+METRES_A_DEGREE = 110_500.0
+
+
+def offered_ways(own: DataFrame, ways: DataFrame, key: str, reach: float | None, checkpoint=lambda df: df.checkpoint()) -> DataFrame:
+    """(key, way_id): for own(key, way_id) all ways with a point within `reach` metres of one of the group's, by cells of
+    that size, up to 70 degrees of latitude; without a reach, all ways of the components that the group's lie in."""
+    if reach is None:
+        ends = ways.where(F.size("node_ids") >= 2)
+        parts = linked_components(way_steps(ends).select("src", "dst"), checkpoint)
+        placed = ends.select("way_id", F.element_at("node_ids", 1).alias("node")).join(parts, "node").select("way_id", "component")
+        touched = own.join(placed, "way_id").select(key, "component").distinct()
+        return touched.join(placed, "component").select(key, "way_id").distinct()
+    size = reach / METRES_A_DEGREE
+    cells = ways.select("way_id", F.explode("points").alias("p")).select("way_id", F.floor(F.col("p.lat") / size).cast("long").alias("cy"), F.floor(F.col("p.lon") / size).cast("long").alias("cx")).distinct()
+    # a degree of longitude is a third of one of latitude at 70 degrees
+    spread = own.join(cells, "way_id").select(key, "cy", "cx").distinct()
+    spread = spread.withColumn("cy", F.explode(F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda k: F.col("cy") + k))).withColumn("cx", F.explode(F.transform(F.sequence(F.lit(-3), F.lit(3)), lambda k: F.col("cx") + k))).distinct()
+    return spread.join(cells, ["cy", "cx"]).select(key, "way_id").distinct()
+
+
+def by_reach(own: DataFrame, ways: DataFrame, key: str, run: Callable[[DataFrame, float | None], DataFrame], checkpoint=lambda df: df.checkpoint()) -> DataFrame:
+    """The rows of run(offered, reach), which has a row or more with key and `sure` for every group. Groups whose
+    searches went beyond a pass's reach are done again with the next one's, so that a group's input is the ways near
+    it, and results are those of the whole graph. The last pass, which few groups need, offers all that is connected."""
+    found, left = None, own
+    for reach in REACHES:
+        made = checkpoint(run(offered_ways(left, ways, key, reach, checkpoint).join(left.select(key).distinct(), key, "left_semi"), reach))
+        done = made.where("sure").drop("sure")
+        found = done if found is None else found.unionByName(done)
+        more = made.where("not sure").select(key).distinct()
+        if not more.limit(1).count():
+            break
+        left = checkpoint(left.join(more, key, "left_semi"))
+    return found
+
+
+def adopt_connector_paths(assigned: DataFrame, ways: DataFrame, classes: Iterable[str] = HIGH_CLASSES, checkpoint=lambda df: df.checkpoint()) -> DataFrame:
     """(route, way_id) with ways without ref that join a route's components. A route's group has its own ways and the
-    blank ways of the components (of the graph of blank and own ways) that it touches, so unconnected connectors
-    never reach a worker."""
-    blank = ways.where((F.size("refs") == 0) & F.col("highway").isin(*classes))
-    steps = way_steps(blank)
-    arcs = directed_arcs(steps).select("way_id", "src", "dst", "weight_m")
-    whole = components(arcs.withColumn("route", F.lit("")), "route").select("node", "component")
-    nodes = ways.select("way_id", F.explode("node_ids").alias("node"))
-    touched = assigned.join(nodes, "way_id").join(whole, "node").select("route", "component").distinct()
-    blank_nodes = blank.select("way_id", F.element_at("node_ids", 1).alias("node")).join(whole, "node").select("way_id", "component")
-    offered = touched.join(blank_nodes, "component").select("route", "way_id").distinct()
-    own = assigned.select("route", "way_id", F.lit(True).alias("own")).unionByName(offered.join(assigned, ["route", "way_id"], "left_anti").withColumn("own", F.lit(False)))
-    rows = own.join(ways.select("way_id", "node_ids", "points", "oneway", (F.size("refs") == 0).alias("blank")), "way_id")
-
-    def group(part: pd.DataFrame) -> pd.DataFrame:
-        lines = {int(r.way_id): [int(n) for n in r.node_ids] for r in part.itertuples()}
-        graph = Connectors(a for r in part[part["blank"]].itertuples() for a in _weighted(r))
-        found = adopt_connectors({int(w) for w in part.loc[part["own"], "way_id"]}, lines, graph)
-        return pd.DataFrame({"route": part["route"].iloc[0], "way_id": sorted(found)})
-
-    return rows.groupBy("route").applyInPandas(group, "route string, way_id long")
+    blank ways near them; `by_reach` says how far."""
+    blank = F.size("refs") == 0
+    told = ways.withColumn("blank", blank & F.col("highway").isin(*classes))
+    near = told.where(F.col("blank")).join(assigned.select("way_id").distinct(), "way_id", "left_anti").unionByName(told.join(assigned.select("way_id").distinct(), "way_id", "left_semi"))
+
+    def run(offered: DataFrame, reach: float | None) -> DataFrame:
+        own = assigned.join(offered.select("route").distinct(), "route", "left_semi").withColumn("own", F.lit(True))
+        rows = offered.join(assigned, ["route", "way_id"], "left_anti").withColumn("own", F.lit(False)).unionByName(own)
+        rows = rows.join(near.select("way_id", "node_ids", "points", "oneway", "blank"), "way_id").where("own or blank")
+
+        def group(part: pd.DataFrame) -> pd.DataFrame:
+            lines = {int(r.way_id): [int(n) for n in r.node_ids] for r in part.itertuples()}
+            net = Connectors((a for r in part[part["blank"]].itertuples() for a in _weighted(r)), reach)
+            found = adopt_connectors({int(w) for w in part.loc[part["own"], "way_id"]}, lines, net)
+            return pd.DataFrame({"route": part["route"].iloc[0], "way_id": sorted(found), "sure": net.sure})
+
+        return rows.groupBy("route").applyInPandas(group, "route string, way_id long, sure boolean")
+
+    return by_reach(assigned, near, "route", run, checkpoint)
 
 
 def _metres(a: tuple[float, float], b: tuple[float, float]) -> float:

@@ -334,14 +334,14 @@ def _cut(df: DataFrame) -> DataFrame:
 @query()
 def connector_paths(spark, sf_dir):
     ways = _mixed_ways(spark, sf_dir)
-    return graph.adopt_connector_paths(graph.assign_ways(ways), ways)
+    return graph.adopt_connector_paths(graph.assign_ways(ways), ways, checkpoint=_cut)
 
 
 @query()
 def corridor_drafts(spark, sf_dir):
     groups = relations.route_groups(_draft_members(spark, sf_dir))
     ways = _draft_ways(spark, sf_dir)
-    drafts = corridor_ops.corridor_drafts(relations.filter_blank_groups(groups), ways)
+    drafts = corridor_ops.corridor_drafts(relations.filter_blank_groups(groups), ways, _cut)
     return drafts.select("corridor_id", "highway", "root_relation_id", "canonical_direction", F.size("way_ids").alias("n_ways"), F.size("lines").alias("n_lines"), F.round(corridor_ops.route_length_m(F.col("lines"))).cast("long").alias("length_m"))
 
 

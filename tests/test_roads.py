@@ -10,6 +10,9 @@ from roadmill.operators.corridors import Way
 WAYS = "way_id long, highway string, refs array<string>, node_ids array<long>, points array<struct<lat:double,lon:double>>, oneway boolean"
 
 
+GROUP = "group_order int, highway string, root_relation_id long, direction string, members array<struct<sequence_index:int,leaf_relation_id:long,way_id:long,role:string>>"
+
+
 def at(node):
     return (35.0 + node * 0.01, -80.0)
 
@@ -54,6 +57,61 @@ def test_a_connector_is_adopted(spark):
     assert edges_of(spark, rows, assigned=adopt) == [("I-95", 1, 4, 0)]
 
 
+def network(rng, n_nodes, n_ways, square):
+    """Ways between random places, a third of them with a ref."""
+    places = {k: (35.0 + rng.random() * square, -80.0 + rng.random() * square) for k in range(n_nodes)}
+    rows = []
+    for i in range(n_ways):
+        a = int(rng.integers(n_nodes))
+        near = sorted(places, key=lambda k: (places[k][0] - places[a][0]) ** 2 + (places[k][1] - places[a][1]) ** 2)[1:6]
+        nodes = [a, int(rng.choice(near))]
+        refs = [f"I-{int(rng.integers(4))}"] if i % 3 == 0 else []
+        rows.append((i, ["motorway", "motorway_link", "trunk"][i % 2 if refs else i % 3], refs, nodes, [places[n] for n in nodes], bool(rng.random() < 0.3)))
+    return rows
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_connectors_near_by_give_the_results_of_the_whole_graph(spark, monkeypatch, seed):
+    rng = np.random.default_rng(seed)
+    rows = network(rng, 120, 260, 0.8)
+    ways = ways_df(spark, *rows)
+    own = graph.assign_ways(ways)
+    members = {r: [w[0] for w in rows if w[2] == [r]] for r in ("I-0", "I-1", "I-2")}
+    groups = spark.createDataFrame([(k, r, 9, ["north", None, "east"][k], [(j, 1, i, "") for j, i in enumerate(members[r][:6])]) for k, r in enumerate(members)], GROUP)
+    found = []
+    for reaches in ((None,), (4_000.0, 30_000.0, None)):
+        monkeypatch.setattr(graph, "REACHES", reaches)
+        found.append((sorted(map(tuple, graph.adopt_connector_paths(own, ways).collect())), sorted((r.group_order, r.way_ids, r.lines) for r in corridors.corridor_drafts(groups, ways).collect())))
+    assert found[0] == found[1]
+    # brute force: every group with all blank ways
+    lines = {w[0]: w[3] for w in rows}
+    net = graph.Connectors(a for w in rows if not w[2] for a in Way(w[0], w[1], w[2], w[3], w[4], w[5]).arcs())
+    plain = sorted((r, i) for r in ("I-0", "I-1", "I-2", "I-3") for i in graph.adopt_connectors({w[0] for w in rows if w[2] == [r]}, lines, net))
+    assert found[0][0] == plain and len(plain) > len(own.collect())
+    whole = {w[0]: Way(w[0], w[1], w[2], w[3], w[4], w[5]) for w in rows}
+    drafts = [(k, corridors.draft(r, ["north", None, "east"][k], members[r][:6], whole)) for k, r in enumerate(members)]
+    assert [(k, i) for k, i, _ in found[0][1]] == [(k, sorted(d[0])) for k, d in drafts if d]
+
+
+def test_offered_ways_are_those_near_by(spark):
+    rows = [way(k, [k * 10, k * 10 + 1], ["I-95"] if k % 10 == 0 else []) for k in range(60)]
+    ways = ways_df(spark, *rows)
+    offered = graph.offered_ways(graph.assign_ways(ways), ways, "route", 16_000.0)
+    ids = {r.way_id for r in offered.collect()}
+    assert {1, 9, 11, 50} <= ids and len(ids) < 40, "a degree and more away nothing is offered"
+    assert {r.way_id for r in graph.offered_ways(graph.assign_ways(ways), ways, "route", None).collect()} == {0, 10, 20, 30, 40, 50}
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_linked_components_equal_union_find(spark, seed):
+    rng = np.random.default_rng(seed)
+    a, b = np.concatenate([rng.integers(0, 80, 45), np.arange(200, 260)]), np.concatenate([rng.integers(0, 80, 45), np.arange(201, 261)])
+    links = spark.createDataFrame([(int(x), int(y)) for x, y in zip(a, b, strict=True)], "src long, dst long")
+    nodes, rank = graph.union_find(a, b)
+    least = {int(r): int(nodes[rank == r].min()) for r in set(rank)}
+    assert {r.node: r.component for r in graph.linked_components(links).collect()} == {int(n): least[int(r)] for n, r in zip(nodes, rank, strict=True)}
+
+
 def test_the_nearest_part_is_that_of_the_cheapest_path():
     rng = np.random.default_rng(8)
     for _ in range(60):
@@ -167,9 +225,6 @@ def test_segments_run_along_the_direction_without_micro_segments():
     assert corridors.without_micro_segments([tiny]) == [tiny]
 
 
-GROUP = "group_order int, highway string, root_relation_id long, direction string, members array<struct<sequence_index:int,leaf_relation_id:long,way_id:long,role:string>>"
-
-
 def test_drafts_fill_gaps_and_drop_short_ones(spark):
     rows = [way(1, [1, 2]), way(12, [2, 3], [], "motorway_link"), way(2, [3, 4]), way(7, [70, 71], ["I-5"])]
     groups = spark.createDataFrame([(1, "I-95", 5, "north", [(0, 1, 1, ""), (1, 1, 2, "")]), (2, "I-5", 6, None, [(0, 1, 7, "")]), (3, "I-6", 7, None, [(0, 1, 999, "")])], GROUP)
