@@ -5,7 +5,9 @@ truth(highway, ref, lat, lon) may list an exit several times; own(highway, ref,
 
 from __future__ import annotations
 
+import contextlib
 import json
+import sqlite3
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +29,25 @@ def ground_truth(exits: DataFrame, request_exits: DataFrame, exits_requests: Dat
     return held.where((ref != "") & ~refs.is_non_exit(ref)).select(F.col("display_name").alias("highway"), ref.alias("ref"), F.col("exit_latitude").alias("lat"), F.col("exit_longitude").alias("lon")).distinct()
 
 
+#: The ground truth's tables, and the columns that are read.
+TRUTH = {
+    "exits": "exit_id, sign_number, exit_latitude, exit_longitude", "request_exits": "exit_id, cache_key", "exits_requests": "cache_key, highway_in_state_id",
+    "highway_in_states": "highway_in_state_id, highway_id", "highways": "highway_id, display_name, highway_type",
+}
+
+
+def read_ground_truth(spark: SparkSession, path: str) -> DataFrame:
+    """`ground_truth` of an SQLite file on the driver: a list of a country's exits, some ten thousands of rows."""
+    types = {"exit_latitude": "double", "exit_longitude": "double", "sign_number": "string", "display_name": "string", "highway_type": "string"}
+    tables = []
+    with contextlib.closing(sqlite3.connect(f"file:{path}?mode=ro", uri=True)) as db:
+        for name, columns in TRUTH.items():
+            kinds = [(c, types.get(c, "string")) for c in columns.split(", ")]
+            rows = [tuple(None if v is None else float(v) if t == "double" else str(v) for v, (_, t) in zip(r, kinds, strict=True)) for r in db.execute(f"select {columns} from {name}")]
+            tables.append(spark.createDataFrame(rows, ", ".join(f"{c} {t}" for c, t in kinds)))
+    return ground_truth(*tables)
+
+
 def corridor_pairs(corridor_exits: DataFrame, corridors: DataFrame) -> DataFrame:
     """(highway, ref, lat, lon) of corridors' exits with a ref."""
     return corridor_exits.join(corridors.select("corridor_id", "highway"), "corridor_id").where(F.col("highway").startswith("I-") & (F.coalesce("ref", F.lit("")) != "")).select("highway", F.trim("ref").alias("ref"), "lat", "lon")

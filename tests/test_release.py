@@ -1,6 +1,9 @@
 """Sources, evaluation, export, release files, build, increments, and the driver's entry points."""
 
+import dataclasses
 import json
+import shutil
+import time
 import zipfile
 
 import pytest
@@ -180,8 +183,62 @@ def test_build_end_to_end(spark, tmp_path):
     assert found["corridor_edges"].count() == 4
     release.write_release(found, tmp_path / "release", "t")
     before = sorted(p.name for p in (tmp_path / "w/stages").iterdir())
-    build_plan.build(spark, config)
-    assert sorted(p.name for p in (tmp_path / "w/stages").iterdir()) == before, "nothing runs again"
+    build_plan.build(spark, dataclasses.replace(config, version="u"))
+    assert sorted(p.name for p in (tmp_path / "w/stages").iterdir()) == before, "nothing runs again, whatever the version"
+    told = build_plan.sources(spark, config)
+    assert {t["kind"] for t in told} == {"nodes", "ways", "relations"} and all(len(t["sha256"]) == 64 for t in told)
+    # an input that changes in place is read again, and ids of components stay
+    kept = next(p for p in (tmp_path / "w/stages").iterdir() if p.name.startswith("components-"))
+    time.sleep(1.1)
+    old = spark.read.parquet(f"{top}/nodes").collect()
+    spark.createDataFrame([*old, (9009, 40.1004, -75.0, {"amenity": "fuel", "name": "New"})], osm.NODES).write.mode("overwrite").parquet(f"{top}/nodes")
+    again = build_plan.build(spark, dataclasses.replace(config, previous=str(kept)))
+    assert sorted(r.display_name for r in again["places"].collect()) == ["Fuel", "New", "Rest Area"]
+
+
+def test_ways_that_no_rule_wants_are_never_placed(spark, tmp_path):
+    ways = spark.createDataFrame([(1, [1, 2], {"highway": "motorway"}), (2, [1, 2], {"highway": "residential"}), (3, [1, 2], {"building": "yes"}), (4, [1, 2], {"amenity": "fuel"}), (5, [1, 2], {"highway": "construction", "construction": "motorway"})], osm.WAYS)
+    assert sorted(r.id for r in osm.prefilter(ways, osm.WAY_FILTER).collect()) == [1, 4, 5]
+
+
+def test_relations_come_as_parquet_lines_or_cache(spark, tmp_path):
+    (tmp_path / "r.opl").write_text("r1 v1 dV c1 t i0 u Tnetwork=US:I,route=road,ref=95,direction=north Mw7@forward,w8@\nr2 v1 Tnetwork=US:US,route=road,ref=1 Mw9@\n")
+    found = build_plan.relation_cache(spark, str(tmp_path / "r.opl")).collect()
+    assert sorted((r.way_id, r.highway) for r in found) == [(7, "I-95"), (8, "I-95")]
+    (tmp_path / "c.tsv").write_text("way_id\thighway\troot_relation_id\tleaf_relation_id\tdirection\trole\tsequence_index\n7\tI-95\t1\t1\tnorth\t\t3\n")
+    assert [(r.way_id, r.sequence_index) for r in build_plan.relation_cache(spark, str(tmp_path / "c.tsv")).collect()] == [(7, 3)]
+
+
+def test_component_ids_stay_over_builds(spark):
+    rows = lambda *r: spark.createDataFrame([("I-1", n, c) for c, nodes in r for n in nodes], "route string, node long, component int")
+    old = rows((0, [1, 2]), (1, [10, 11]), (4, [20, 21]))
+    fresh = rows((0, [0, 5]), (1, [2, 3]), (2, [11, 20]), (3, [90, 91]))
+    got = {r.node: r.component for r in build_plan.stable_components(fresh, old).collect()}
+    # nodes 0 and 90 are new, 2 was in 0, and 11 and 20 bring 1 and 4 together
+    assert got == {0: 5, 5: 5, 2: 0, 3: 0, 11: 1, 20: 1, 90: 6, 91: 6}
+
+
+def test_a_ground_truth_is_read_from_its_file(spark, tmp_path):
+    import sqlite3
+
+    from roadmill.operators import evaluate
+
+    db = sqlite3.connect(tmp_path / "t.db")
+    for name, columns in evaluate.TRUTH.items():
+        db.execute(f"create table {name} ({columns})")
+    db.execute("insert into exits values (1, ' 12A ', 40.0, -75.0), (2, '', 1, 1), (3, '7', null, null)")
+    db.execute("insert into request_exits values (1, 'k'), (2, 'k'), (3, 'k')")
+    db.execute("insert into exits_requests values ('k', 5)")
+    db.execute("insert into highway_in_states values (5, 6)")
+    db.execute("insert into highways values (6, 'I-95', 'Interstate')")
+    db.commit()
+    assert sorted(tuple(r) for r in evaluate.read_ground_truth(spark, str(tmp_path / "t.db")).collect()) == [("I-95", "12A", 40.0, -75.0), ("I-95", "7", None, None)]
+
+
+def test_a_store_needs_a_release_folder():
+    assert build_plan.local_folder("file:///a/b") == "/a/b"
+    with pytest.raises(ValueError):
+        build_plan.local_folder("hdfs://x/y")
 
 
 def test_settings_come_from_the_environment(monkeypatch):
@@ -202,6 +259,12 @@ def test_increments_keep_the_latest_rows(spark, tmp_path):
         assert run.exception() is None
         got = sorted(map(tuple, spark.read.parquet(str(tmp_path / f"table/v{k}")).collect()))
     assert got == [(1, 2, "c"), (2, 1, "b"), (3, 1, "d")]
+    # a version that is gone ends the stream, as its rows would be lost
+    shutil.rmtree(tmp_path / "table/v1")
+    spark.createDataFrame([(9, 1, "z")], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    run = apply_increments(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), str(tmp_path / "table"), ["id"], ["seq"], str(tmp_path / "ck")).trigger(availableNow=True).start()
+    with pytest.raises(Exception, match="is gone"):
+        run.awaitTermination(60)
 
 
 # ---------------------------------------------------------------- entry points
