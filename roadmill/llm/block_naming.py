@@ -8,7 +8,7 @@ is on the blocks themselves.
 
 Nulls and ties: a null text counts as empty, which is a text like any other; rows with a null id form groups as
 others do and are never the row that stays unless all ids of the group are null; repeated rows of the id that
-stays are all kept, as one document. Columns other than doc_id and text are not read.
+stays are all kept, as one document. Very long texts are named whole. No rows give no rows. Columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -62,9 +62,11 @@ def identities(docs: DataFrame, block_bytes: int = 4096) -> DataFrame:
     table = scratch(_named_blocks(texts, block_bytes).drop("block"), "naming-blocks")
     clash = table.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
     if clash:  # two blocks share 128 bits: names go back by the blocks themselves
-        parts = docs.select(F.monotonically_increasing_id().alias("row"), normalise(F.col("text")).cast("binary").alias("bytes"))
-        parts = parts.select("row", F.posexplode(_block_column(block_bytes)).alias("at", "block"))
-        sequence = parts.join(_named_blocks(texts, block_bytes).select("block", "name"), "block").select("row", "at", "name")
+        # row numbers are data here too: rows are written anew with their bytes
+        held = scratch(texts.withColumn("row", F.monotonically_increasing_id()), "naming-texts")
+        rows = held.select("row", "doc_id", F.octet_length("bytes").alias("n_bytes"), F.sha2("bytes", 256).alias("sha256"), hashes.alias("hashes"))
+        parts = held.select("row", F.posexplode(_block_column(block_bytes)).alias("at", "block"))
+        sequence = parts.join(_named_blocks(held, block_bytes).select("block", "name"), "block").select("row", "at", "name")
     else:
         parts = rows.select("row", F.posexplode("hashes").alias("at", "h")).select("row", "at", "h.h1", "h.h2")
         sequence = parts.join(table, ["h1", "h2"]).select("row", "at", "name")

@@ -7,7 +7,8 @@ Law `rows`: shard sizes differ by one at most.
 
 Only the matrix (blocks x shards, blocks at most `max_blocks`) is on the driver. The narrow rows are written
 once with the number of their source block, so a lost executor can't change a draw. Nulls: a null text has
-size 8 and crc32 0; null and repeated ids are rows like any other. An empty table gives no rows.
+size 8 and crc32 0; null and repeated ids are rows like any other; very long texts are read for their size and sum
+alone and never moved. An empty table gives no rows. Columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations

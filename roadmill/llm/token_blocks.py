@@ -6,7 +6,8 @@ sample, at about 2 + log2(mean length) bits a document instead of 64. Ids of doc
 form. Blocks are rows of a Parquet table that Spark writes, so that any store serves; `open_block` reads one.
 
 Nulls and ties: a null text is empty and has the end id alone; null ids come first; equal ids are in the order of
-their texts' hashes; repeated rows are documents of their own. An empty table gives no blocks.
+their texts' hashes; repeated rows are documents of their own; a very long text is encoded whole, in a block of its own
+size. An empty table gives no blocks. Columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations

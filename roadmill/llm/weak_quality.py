@@ -7,7 +7,9 @@ to the posteriors of a bounded sample (about `sample` documents, by hash), and s
 
 Nulls and ties: null, empty and wordless texts get the vote of the length heuristic alone and score by the bias
 of a text without words, which is set to bad; null ids and repeated rows are scored like others. Without
-documents the result is empty. Columns other than doc_id and text are carried by `keep_good`, with any names.
+documents the result is empty. Very long texts are read whole, a few at a time. Rows that agree in id and text are in
+the sample once, so that repeated rows can't swell it. Columns other than doc_id and text are carried by `keep_good`,
+with any names.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces, use_worker
+from .common import pieces, small_batches, use_worker
 
 NONE, BAD, GOOD = 0, 1, 2
 DIMENSIONS = 2048
@@ -231,7 +233,8 @@ class QualityModel:
 def fit(docs: DataFrame, sample: int = 4000) -> QualityModel | None:
     """The model of docs(doc_id, text): vote patterns of all documents, the scorer from about `sample` of them.
     None if there are no documents."""
-    counted = docs.select("text").mapInArrow(_patterns, "pattern int").groupBy("pattern").agg(F.count("*").alias("n")).orderBy("pattern").collect()
+    with small_batches(docs.sparkSession):
+        counted = docs.select("text").mapInArrow(_patterns, "pattern int").groupBy("pattern").agg(F.count("*").alias("n")).orderBy("pattern").collect()
     if not counted:
         return None
     patterns, counts = np.array([r.pattern for r in counted]), np.array([float(r.n) for r in counted])
@@ -239,7 +242,9 @@ def fit(docs: DataFrame, sample: int = 4000) -> QualityModel | None:
     order = F.xxhash64(F.lit(5), "doc_id", "text")
     share = min(1.0, sample / counts.sum())
     chosen = docs.select(order.alias("order"), "text").where(F.pmod("order", F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
-    rows = chosen.mapInArrow(_sampled, "order long, pattern int, at binary, value binary").collect()
+    chosen = chosen.groupBy("order").agg(F.first("text").alias("text"))
+    with small_batches(docs.sparkSession):
+        rows = chosen.mapInArrow(_sampled, "order long, pattern int, at binary, value binary").collect()
     rows.sort(key=lambda r: (r.order, r.pattern))
     x = np.zeros((len(rows), DIMENSIONS), np.float32)
     for i, r in enumerate(rows):

@@ -129,6 +129,71 @@ def test_label_model_recovers_accuracies():
     assert ((model.posterior(codes) > 0.5) == truth).mean() > 0.97
 
 
+def em_brute(codes):
+    """Expectation-maximisation by loops over documents, from the definition."""
+    votes = [[c // 3**i % 3 for i in range(9)] for c in codes]
+    q = [0.95 if v.count(weak_quality.GOOD) > 2 * v.count(weak_quality.BAD) else 0.05 for v in votes]
+    for _ in range(200):
+        says = {}  # of those who vote, the share that votes good, by labeller and class
+        for i in range(9):
+            for c in (0, 1):
+                good, bad = (0.5 + sum((x if c else 1 - x) for x, v in zip(q, votes, strict=True) if v[i] == kind) for kind in (weak_quality.GOOD, weak_quality.BAD))
+                says[i, c] = good / (good + bad)
+        prior = (sum(q) + 1) / (len(q) + 2)
+        before, q = q, []
+        for v in votes:
+            a, b = prior, 1 - prior
+            for i, x in enumerate(v):
+                if x != weak_quality.NONE:
+                    a *= says[i, 1] if x == weak_quality.GOOD else 1 - says[i, 1]
+                    b *= says[i, 0] if x == weak_quality.GOOD else 1 - says[i, 0]
+            q.append(a / (a + b))
+        if max(abs(x - y) for x, y in zip(q, before, strict=True)) < 1e-9:
+            break
+    return q
+
+
+def test_the_fit_equals_loops_over_documents(spark):
+    """Patterns, posteriors and the scorer's optimum against plain versions, on documents of both kinds."""
+    rng = random.Random(2)
+    prose = lambda n: " ".join(rng.choice("the of and a house river stone walks slowly under light".split()) for _ in range(n)) + "."
+    junk = lambda n: " ".join(rng.choice([f"XQ{rng.randrange(99)}!!", "ZZ ##", "| |", "the", prose(3)]) for _ in range(n))
+    rows = [(k, prose(rng.randrange(5, 90)) if k % 3 else junk(rng.randrange(5, 90))) for k in range(150)] + [(5, prose(30))] * 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = weak_quality.fit(docs.unionByName(docs.limit(0)))
+    codes = [weak_quality.pattern(t) for _, t in rows]
+    expected = em_brute(codes)
+    assert np.allclose(model.labels.posterior(np.array(codes)), expected, atol=1e-6)
+    got = {(r.pattern, round(r.weak_posterior, 6)) for r in weak_quality.classify(docs, model).collect()}
+    assert got == {(c, round(e, 6)) for c, e in zip(codes, expected, strict=True)}
+    # the loss that is stated: logistic on soft labels, both classes of equal weight, with a penalty; plain steps find its least
+    x = np.array([weak_quality.features(t.split()) for _, t in rows])
+    q = np.array(expected)
+    scale = np.minimum(np.where(q >= 0.5, 0.5 / q.mean(), 0.5 / (1 - q.mean())), 10)
+
+    def loss(w, b):
+        z = x @ w + b
+        return float((scale * (np.logaddexp(0, z) - q * z)).mean() + 0.5e-4 * w @ w)
+
+    w, b = np.zeros(x.shape[1]), 0.0
+    for _ in range(6000):
+        g = (1 / (1 + np.exp(-(x @ w + b))) - q) * scale / len(q)
+        w, b = w - 2.0 * (x.T @ g + 1e-4 * w), b - 2.0 * g.sum()
+    assert loss(model.scorer.weights, model.scorer.bias) < loss(w, b) * 1.05 + 1e-3
+    kept = {k for k, (_, t) in enumerate(rows) if model.scorer.score(t.split()) >= 0.5}
+    plain = {k for k in range(len(rows)) if x[k] @ w + b >= 0}
+    assert len(kept ^ plain) <= 2
+
+
+def test_repeated_rows_do_not_swell_the_sample(spark, monkeypatch):
+    docs = spark.range(3000).selectExpr("1L as doc_id", "'the same text of a few words' as text").unionByName(spark.range(100).selectExpr("id + 10 as doc_id", "concat('the number ', id, ' of them all') as text"))
+    seen = []
+    real = weak_quality.Scorer.fit.__func__
+    monkeypatch.setattr(weak_quality.Scorer, "fit", classmethod(lambda cls, x, q: seen.append(len(x)) or real(cls, x, q)))
+    weak_quality.fit(docs, sample=10_000)
+    assert seen == [101]
+
+
 def test_held_out_accuracy(spark):
     """Labels are used here alone: the model has not seen them."""
     sf = "/root/testdata/sf0.01"
