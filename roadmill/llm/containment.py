@@ -8,8 +8,8 @@ more in partitions of larger items. The document's sketch is all its shingles wi
 sketch. A document with `need` hashes of a sketch, and shingles enough to contain the item, is a candidate; a candidate
 is verified by counting the item's distinct shingles, as text, in the document's whole text. No link is lost, and
 a shingle that is common in the corpus makes candidates only of items that are hardly more than it.
-(One MinHash coordinate agrees with a chance of the Jaccard index, 0.001 for a short item in a long document, so banded
-coordinates lose items, however their bands are tuned by size; README has the figures.)
+(One MinHash coordinate agrees with a chance of the Jaccard index, 0.001 for a short item in a document of 20 000 words, so
+banded coordinates lose items, however their bands are tuned by size; README has the figures.)
 
 Nulls and ties: null, empty and wordless texts contain nothing and are contained in nothing; a text with fewer
 words than a shingle is one shingle; rows with a null id are compared like others; repeated rows give repeated
