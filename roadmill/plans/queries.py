@@ -295,7 +295,17 @@ def component_directions(spark, sf_dir):
     return graph.component_directions(edges)
 
 
-@query()
+@query(_DEGREES + f""",
+st as (select route, node from d where not ((n_in = 1 and n_out = 1) or (n_in = 2 and n_out = 2 and n_both = 2))),
+a as (select route, src, dst, coalesce({haversine_sql(_LAT("src"), _LON("src"), _LAT("dst"), _LON("dst"))}, 0) as m, (route, dst) in (select (route, node) from st) as last from p),
+c as (select a.route, src as start_node, dst as first, src as before, dst as node, m, 1 as n, last from a semi join st on st.route = a.route and st.node = src
+  union all select c.route, start_node, first, node, dst, c.m + a.m, n + 1, a.last from c join a on a.route = c.route and a.src = c.node and a.dst <> c.before where not c.last),
+g as (select route, start_node, first, arg_max(node, n) as end_node, max(n) as n, arg_max(m, n) as m from c group by 1, 2, 3),
+f as (select * from g where start_node <> end_node qualify row_number() over (partition by route, start_node, end_node order by first) = 1),
+e as (select route, src as x, dst as y from x_steps union select route, dst, src from x_steps),
+r as (select distinct route, x as node, x as low from e union select r.route, e.y, r.low from r join e on e.route = r.route and e.x = r.node and r.low < e.y),
+k as (select route, node, (dense_rank() over (partition by route order by min(low)) - 1)::int as component from r group by 1, 2)
+;; select 'edge/' || f.route || '/' || start_node || '/' || end_node as id, f.route as highway, component, start_node, end_node, greatest(1, floor(m + 0.5))::int as length_m, (n + 1)::int as n_points from f join k on k.route = f.route and k.node = start_node""", recursive=True)
 def compressed_edges(spark, sf_dir):
     arcs = _arcs(spark, sf_dir)
     none = spark.createDataFrame([], "route string, node long")
@@ -337,7 +347,12 @@ def connector_paths(spark, sf_dir):
     return graph.adopt_connector_paths(graph.assign_ways(ways), ways, checkpoint=_cut)
 
 
-@query()
+@query(f"""s as (select s_suppkey as k, i::int as i from supplier, range(50) t(i)),
+g as (select k, min(i) as lo, max(i) as hi from s where (k + i) % 17 <> 0 group by 1),
+v as (select k, j, {_LAT("k")} + j * 0.004::double as lat, {_LON("k")} + j * 0.001::double as lon from g, range(51) t(j) where j between lo and hi + 1),
+l as (select k, {haversine_sql("lag(lat) over (partition by k order by j)", "lag(lon) over (partition by k order by j)", "lat", "lon")} as m from v),
+d as (select k, hi - lo + 1 as n, 'I-' || (k % 40) as highway, {pick_sql("k % 3", ["north", "south", None])} as going, (select sum(m) from l where l.k = g.k) as m from g)
+;; select row_number() over (order by k % 40, k)::int as corridor_id, highway, k as root_relation_id, coalesce(going, 'north') as canonical_direction, n::int as n_ways, 1 as n_lines, round(m)::bigint as length_m from d where m >= 3000""")
 def corridor_drafts(spark, sf_dir):
     groups = relations.route_groups(_draft_members(spark, sf_dir))
     ways = _draft_ways(spark, sf_dir)
@@ -405,8 +420,16 @@ def _relation_tree(spark, sf_dir) -> DataFrame:
     return ways.select("relation_id", F.concat(F.lit("I-"), (r / 10).cast("int").cast("string")).alias("ref"), F.when(r % 7 == 1, "north").alias("direction"), F.concat(F.lit("Road "), r.cast("string")).alias("name"), F.lit(None).cast("string").alias("description"), F.concat(below, own).alias("members"))
 
 
-@query()
+@query(f"""w as (select distinct l_suppkey as leaf, l_partkey as way_id, {pick_sql("l_partkey % 5", ["north", "", "forward", "south", ""])} as role from lineitem),
+t as (select *, case when leaf % 10 between 1 and 3 and leaf - leaf % 10 in (select leaf from w) then leaf - leaf % 10 else leaf end as root from w),
+d as (select *, case when leaf % 7 = 1 then 'north' when role in ('north', 'south') then role when root % 7 = 1 then 'north' else '' end as direction from t),
+n as (select distinct leaf // 10 as ref, root, way_id, direction from d where direction <> ''),
+k as (select root, count(*) as n from n group by 1),
+i as (select a.root, b.root as other, count(*) as n from n a join n b on a.ref = b.ref and a.way_id = b.way_id and a.direction = b.direction and a.root <> b.root group by 1, 2),
+gone as (select i.root from i join k on k.root = i.root join k o on o.root = i.other where i.n = k.n and (o.n > k.n or i.other < i.root))
+;; select way_id, 'I-' || (leaf // 10) as highway, root as root_relation_id, leaf as leaf_relation_id, direction, role, (row_number() over (partition by root, direction order by leaf = root, leaf, way_id) - 1)::int as sequence_index from d where root not in (select root from gone)""")
 def flattened_relations(spark, sf_dir):
+    """All relations have ways of both directions, so none has a default, and SQL has no rule for it."""
     return relations.flatten_relations(_relation_tree(spark, sf_dir))
 
 
@@ -521,12 +544,33 @@ def _long_corridors(spark, sf_dir) -> DataFrame:
     return x.load(spark, sf_dir, "supplier").select(k.cast("int").alias("corridor_id"), F.concat(F.lit("I-"), (k % 40).cast("string")).alias("highway"), pick(F.col("s_nationkey") % 4, x.CORRIDOR_DIRECTIONS).alias("canonical_direction"), F.array(line).alias("lines"))
 
 
-@query()
+_SAMPLED = f"""s as (select s_suppkey::int as k, {pick_sql("s_nationkey % 4", x.CORRIDOR_DIRECTIONS)} as going, {_LAT("s_suppkey")} as y0, {_LON("s_suppkey")} as x0 from supplier),
+b as (select *, going in ('south', 'west') as turned from s),
+v as (select k, i::int as i, y0 + (case when turned then 49 - i else i end) * 0.02::double as lat, x0 + (case when turned then 49 - i else i end) * 0.003::double as lon from b, range(50) t(i)),
+l as (select k, i, lag(lat) over o as alat, lag(lon) over o as alon, lat as blat, lon as blon from v window o as (partition by k order by i)),
+n as (select *, {haversine_sql("alat", "alon", "blat", "blon")} as m from l where i > 0),
+u as (select *, sum(m) over (partition by k order by i) as upto, sum(m) over (partition by k) as total from n),
+q as (select k, j, j * {routes.STEP_M}::double as mark from (select k, unnest(range(0, (total / {routes.STEP_M}::double)::bigint + 2)) as j from u where i = 1) where j * {routes.STEP_M}::double <= (select any_value(total) from u where u.k = k)),
+z as (select q.k, j, alat + (mark - (upto - m)) / m * (blat - alat) as lat, alon + (mark - (upto - m)) / m * (blon - alon) as lon from q join u on u.k = q.k and mark <= upto and (mark > upto - m or (i = 1 and mark = 0))),
+y as (select k, max(j) as j, arg_max(lat, j) as lat, arg_max(lon, j) as lon from z group by 1),
+w as (select * from z union all select y.k, y.j + 1, v.lat, v.lon from y join v on v.k = y.k and v.i = 49 where {haversine_sql("y.lat", "y.lon", "v.lat", "v.lon")} > 10),
+h as (select *, lead(lat) over o as nlat, lead(lon) over o as nlon from w window o as (partition by k order by j)),
+c as (select k, j, lat, lon, {bearing_sql("lat", "lon", "nlat", "nlon")} as b from h),
+e as (select k, j, radians(lat) as p, radians(lon) as q, radians((coalesce(b, lag(b) over (partition by k order by j)) + 90) % 360) as side, {routes.LANE_M}::double / 6371000 as far from c),
+f as (select k, j, q, side, far, p, asin(sin(p) * cos(far) + cos(p) * sin(far) * cos(side)) as lat from e),
+pts as (select k, j, degrees(lat) as lat, degrees(q + atan2(sin(side) * sin(far) * cos(p), cos(far) - sin(p) * sin(lat))) as lon from f),
+steps as (select k, j, lat, lon, lag(lat) over o as plat, lag(lon) over o as plon from pts window o as (partition by k order by j)),
+sums as (select k, sum({haversine_sql("plat", "plon", "lat", "lon")}) as metres, count(*) as n, arg_min(lat, j) as first_lat, arg_max(lon, j) as last_lon from steps group by 1)"""
+
+
+@query(_SAMPLED + """,
+r as (select s.k, 'I-' || (s.k % 40) as highway, upper(going[1]) || 'B' as code, upper(going[1]) || going[2:] || 'bound' as label, metres, n, first_lat, last_lon from sums join s using (k) where metres >= 50000)
+;; select highway, code as direction_code, highway || ' ' || label as display_name, k as corridor_id, row_number() over (partition by highway, code order by metres desc, k)::int as variant_rank, round(metres, 3) as distance_m, n::int as point_count, n * 5.0::double as duration_s, round(first_lat, 6) as start_lat, round(last_lon, 6) as end_lon from r""")
 def resampled_routes(spark, sf_dir):
     return routes.reference_routes(_long_corridors(spark, sf_dir)).select("highway", "direction_code", "display_name", "corridor_id", "variant_rank", F.round("distance_m", 3).alias("distance_m"), "point_count", "duration_s", F.round("start_lat", 6).alias("start_lat"), F.round("end_lon", 6).alias("end_lon"))
 
 
-@query()
+@query(_SAMPLED + ";; select k as corridor_id, j::int as anchor_index, round(lat, 6) as lat, round(lon, 6) as lon from pts join (select k, max(j) as top from pts group by 1) using (k) semi join (select k from sums where metres >= 50000) using (k) where j % 40 = 0 or j = top")
 def route_anchors(spark, sf_dir):
     found = routes.reference_routes(_long_corridors(spark, sf_dir))
     anchors = routes.route_anchors(found).join(found.select(F.col("id").alias("route_id"), "corridor_id"), "route_id")
@@ -680,3 +724,6 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)
+
+
+from . import stage_queries  # noqa: E402, F401  registers its own here

@@ -157,13 +157,19 @@ def read_relation_lines(spark: SparkSession, path: str) -> DataFrame:
 CACHE = "way_id long, highway string, root_relation_id long, leaf_relation_id long, direction string, role string, sequence_index int"
 
 
-def read_relation_cache(spark: SparkSession, path: str) -> DataFrame:
-    """The tab-separated relation cache. Headers, blank lines, short lines, lines whose ids are no numbers and refs that
-    are no Interstates are left out; role and sequence may be missing."""
+def parse_relation_cache(lines: DataFrame) -> DataFrame:
+    """Lines of the tab-separated relation cache. Headers, blank lines, short lines, lines whose ids are no numbers and refs
+    that are no Interstates are left out; role and sequence may be missing."""
     p = F.split(F.col("value"), "\t")
-    rows = spark.read.text(path).where(~F.col("value").startswith("way_id\t") & (F.size(p) >= 5))
+    rows = lines.where(~F.col("value").startswith("way_id\t") & (F.size(p) >= 5))
+    # inside a transform the field is a variable; written out, the filter on the result outgrows a compiled method
+    highway = F.get(F.transform(F.array(F.get(p, F.lit(1))), refs.normalize_highway_ref), F.lit(0))
     rows = rows.select(
-        F.get(p, F.lit(0)).try_cast("long").alias("way_id"), refs.normalize_highway_ref(F.get(p, F.lit(1))).alias("highway"), F.get(p, F.lit(2)).try_cast("long").alias("root_relation_id"), F.get(p, F.lit(3)).try_cast("long").alias("leaf_relation_id"),
+        F.get(p, F.lit(0)).try_cast("long").alias("way_id"), highway.alias("highway"), F.get(p, F.lit(2)).try_cast("long").alias("root_relation_id"), F.get(p, F.lit(3)).try_cast("long").alias("leaf_relation_id"),
         refs.direction(F.get(p, F.lit(4)), rich=False).alias("direction"), F.coalesce(F.get(p, F.lit(5)), F.lit("")).alias("role"), F.coalesce(F.get(p, F.lit(6)).try_cast("int"), F.lit(0)).alias("sequence_index"),
     )
     return rows.where(F.col("way_id").isNotNull() & F.col("root_relation_id").isNotNull() & F.col("leaf_relation_id").isNotNull() & refs.is_interstate(F.col("highway")))
+
+
+def read_relation_cache(spark: SparkSession, path: str) -> DataFrame:
+    return parse_relation_cache(spark.read.text(path))
