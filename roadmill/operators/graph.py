@@ -365,40 +365,60 @@ def _weighted(row) -> Iterable[tuple[int, int, int, int]]:
 # ---------------------------------------------------------------- compressed edges
 
 EDGE = "id string, highway string, component int, start_node long, end_node long, length_m int, way_ids array<long>, points array<struct<lat:double,lon:double>>"
+_CHAIN = "id string, highway string, component int, start_node long, end_node long, length_m int, way_ids array<long>, lats array<double>, lons array<double>"
 
 
-def compress(route: str, arcs: pd.DataFrame, stops: set[int], component: dict[int, int]) -> pd.DataFrame:
+def chain_heads(follows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(head, steps from it) of each arc; follows is the place of the arc before it, or its own for a head. Places are
+    doubled, so a chain of n arcs takes log n rounds. On a ring no arc's head is a head."""
+    head, steps = follows.copy(), (follows != np.arange(len(follows))).astype(np.int64)
+    for _ in range(len(follows).bit_length()):
+        steps, above = steps + steps[head], head[head]
+        if (above == head).all():
+            break
+        head = above
+    return head, steps
+
+
+def compress(route: str, arcs: pd.DataFrame, stops: np.ndarray, component: pd.Series) -> pd.DataFrame:
     """Chains of arcs between stop nodes, as edges. arcs(src, dst, alat, alon, blat, blon, metres, way_ids, sign), one per
-    (src, dst). A chain goes on through a node that is no stop while one neighbour other than the last leads on, by an
-    arc that is unused and has the first arc's signature; it ends there otherwise. Chains back to their start and
-    chains between components are dropped, and of chains with one start and end the first stays."""
-    out: dict[int, list] = defaultdict(list)
-    for r in arcs.sort_values(["src", "dst"]).itertuples():
-        out[r.src].append(r)
-    used: set[tuple[int, int]] = set()
+    (src, dst); component by node. An arc follows another if it leads on from its end, which is no stop, to another node
+    than the other's start, as the only one that does, and has the same signature. Chains begin at stops; those back to
+    their start and those between components are dropped, and of chains with one start and end the one with the least
+    second node stays."""
+    a = arcs.sort_values(["src", "dst"], ignore_index=True)
+    src, dst, sign = a["src"].to_numpy(np.int64), a["dst"].to_numpy(np.int64), pd.factorize(a["sign"])[0]
+    at = np.arange(len(a))
+    # arcs out of a node are neighbours, so the arcs on from an arc are a slice
+    first, last = np.searchsorted(src, dst, "left"), np.searchsorted(src, dst, "right")
+    passing = ~np.isin(dst, stops)
+    width = np.where(passing, last - first, 0)
+    before = np.repeat(at, width)
+    after = np.arange(len(before)) - np.repeat(np.cumsum(width) - width, width) + first[before]
+    onward = dst[after] != src[before]
+    before, after = before[onward], after[onward]
+    sole = np.bincount(before, minlength=len(a))[before] == 1
+    joined = sole & (sign[before] == sign[after])
+    follows = at.copy()
+    # where stops leave a node out at which ways meet, the first arc into it goes on
+    follows[after[joined][::-1]] = before[joined][::-1]
+    head, steps = chain_heads(follows)
+    begins = np.isin(src[head], stops) & (follows[head] == head)
+    order = np.lexsort((steps, head))
+    order = order[begins[order]]
+    chains, start = np.unique(head[order], return_index=True)
+    stop = np.append(start[1:], len(order))
+    blat, blon, alat, alon, metres, ways = (a[c].to_numpy() for c in ("blat", "blon", "alat", "alon", "metres", "way_ids"))
     rows, known = [], set()
-    for start in sorted(stops):
-        for first in out.get(start, ()):
-            if (start, first.dst) in used:
-                continue
-            chain = [first]
-            used.add((start, first.dst))
-            while chain[-1].dst not in stops:
-                last = chain[-1]
-                onward = [r for r in out.get(last.dst, ()) if r.dst != last.src]
-                if len(onward) != 1 or (onward[0].src, onward[0].dst) in used or onward[0].sign != first.sign:
-                    break
-                chain.append(onward[0])
-                used.add((onward[0].src, onward[0].dst))
-            end = chain[-1].dst
-            name = f"edge/{route}/{start}/{end}"
-            if end == start or component.get(start) is None or component.get(start) != component.get(end) or name in known:
-                continue
-            known.add(name)
-            points = [{"lat": chain[0].alat, "lon": chain[0].alon}, *({"lat": r.blat, "lon": r.blon} for r in chain)]
-            ways = sorted({int(w) for r in chain for w in r.way_ids})
-            rows.append((name, route, component[start], start, end, whole_metres(sum(r.metres for r in chain)), ways, points))
-    return pd.DataFrame(rows, columns=[c.split()[0] for c in EDGE.split(", ")[:7]] + ["points"])
+    part = component.to_dict()
+    for h, i, j in zip(chains.tolist(), start.tolist(), stop.tolist()):
+        run = order[i:j]
+        x, y = int(src[h]), int(dst[run[-1]])
+        if x == y or part.get(x) is None or part[x] != part.get(y) or (x, y) in known:
+            continue
+        known.add((x, y))
+        rows.append((f"edge/{route}/{x}/{y}", route, part[x], x, y, whole_metres(sum(metres[run].tolist())), np.unique(np.concatenate(ways[run])), np.append(alat[h], blat[run]), np.append(alon[h], blon[run])))
+    return pd.DataFrame(rows, columns=[c.split()[0] for c in _CHAIN.split(", ")])
 
 
 def compressed_edges(arcs: DataFrame, stops: DataFrame, parts: DataFrame, signatures: DataFrame | None = None) -> DataFrame:
@@ -412,16 +432,15 @@ def compressed_edges(arcs: DataFrame, stops: DataFrame, parts: DataFrame, signat
     one = signed.groupBy("route", "src", "dst").agg(first.alias("f"), F.array_sort(F.collect_set("way_id")).alias("way_ids"), F.array_join(F.array_sort(F.collect_set("sign")), "|").alias("sign"))
     one = one.select("route", "src", "dst", "f.alat", "f.alon", "f.blat", "f.blon", "f.metres", "way_ids", "sign")
 
-    def group(key, a: pd.DataFrame, s: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        return compress(key[0], a, set(s["node"].tolist()), dict(zip(c["node"].tolist(), c["component"].tolist(), strict=True)))
-
     # a cogroup has two sides: stops and components come as one table
     marks = parts.join(stops.withColumn("stop", F.lit(True)), ["route", "node"], "left")
 
-    def both(key, a: pd.DataFrame, m: pd.DataFrame) -> pd.DataFrame:
-        return group(key, a, m[m["stop"].notna()], m)
+    def group(key, a: pd.DataFrame, m: pd.DataFrame) -> pd.DataFrame:
+        return compress(key[0], a, m.loc[m["stop"].notna(), "node"].to_numpy(np.int64), m.set_index("node")["component"])
 
-    return one.groupBy("route").cogroup(marks.groupBy("route")).applyInPandas(both, EDGE)
+    chains = one.groupBy("route").cogroup(marks.groupBy("route")).applyInPandas(group, _CHAIN)
+    points = F.zip_with("lats", "lons", lambda a, b: F.struct(a.alias("lat"), b.alias("lon")))
+    return chains.withColumn("points", points).drop("lats", "lons")
 
 
 def component_directions(edges: DataFrame) -> DataFrame:

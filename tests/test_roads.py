@@ -43,6 +43,13 @@ def test_an_exit_splits_a_chain(spark):
     assert edges_of(spark, [way(1, [1, 2, 3])], exits_at=[2]) == [("I-95", 1, 2, 0), ("I-95", 2, 3, 0)]
 
 
+def test_chain_heads_of_a_chain_and_a_ring():
+    follows = np.array([0, 0, 1, 2, 3, 6, 5, 7])
+    head, steps = graph.chain_heads(follows)
+    assert head[:5].tolist() == [0] * 5 and steps[:5].tolist() == [0, 1, 2, 3, 4]
+    assert (follows[head[5:7]] != head[5:7]).all() and (head[7], steps[7]) == (7, 0)
+
+
 def test_components_are_numbered_by_their_least_node(spark):
     assert edges_of(spark, [way(10, [10, 11]), way(1, [1, 2])]) == [("I-95", 1, 2, 0), ("I-95", 10, 11, 1)]
 
