@@ -1,12 +1,13 @@
 """More operators of the build as queries, and the same in SQL: loading, exits on the graph, discovery, conflicts,
-fallbacks, places and the relation cache. `queries` registers them."""
+fallbacks, places, the relation cache, texts of lines and coverage pairs. `queries` registers them."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from roadmill.functions import geo
 from roadmill.operators import corridors as corridor_ops
-from roadmill.operators import exits, graph
+from roadmill.operators import evaluate, exits, graph, routes
 from roadmill.sources import osm
 
 from . import synthetic as x
@@ -178,3 +179,30 @@ def fallback_corridors(spark, sf_dir):
     found = corridor_ops.fallback_corridors(edges, entries, drafts)
     starts = F.transform("lines", lambda line: F.round(F.element_at(line, 1).lat * 1_000_000).cast("long").cast("string"))
     return found.select("corridor_id", "highway", "canonical_direction", "component", F.size("way_ids").alias("n_ways"), F.array_join("edge_ids", ",").alias("edges"), F.array_join(starts, ",").alias("starts"))
+
+
+# ---------------------------------------------------------------- texts of lines, coverage
+
+
+@query(""";; select corridor_id, count(distinct line)::int as n_lines, count(*)::int as n_points, round(min(lat), 9) as min_lat, round(max(lat), 9) as max_lat, round(min(lon), 9) as min_lon, round(max(lon), 9) as max_lon,
+  round(arg_min(lat, line * 10 + pos), 9) as first_lat, round(arg_max(lon, line * 10 + pos), 9) as last_lon from x_vertices group by 1""")
+def geojson_lines(spark, sf_dir):
+    """Corridors' lines written as GeoJSON and read back, with their bounds."""
+    rows = x.corridor_lines(spark, sf_dir).select("corridor_id", routes.parse_lines(routes.lines_geojson(F.col("lines"))).alias("lines"))
+    points = F.flatten("lines")
+    held = rows.select("corridor_id", F.size("lines").alias("n_lines"), F.size(points).alias("n_points"), *geo.bounds(points), F.element_at(points, 1).lat.alias("first_lat"), F.element_at(points, -1).lon.alias("last_lon"))
+    return held.withColumns({c: F.round(c, 9) for c in held.columns[3:]})
+
+
+@query(f""";; select way_id, len(node_ids)::int as n_points, round({_LON("node_ids[1]")}, 9) as first_lon, round({_LAT("node_ids[len(node_ids)]")}, 9) as last_lat from x_ways""")
+def line_wkt(spark, sf_dir):
+    """Ways written as WKT; the numbers are read from the text."""
+    text = x.ways(spark, sf_dir).select("way_id", geo.linestring_wkt(F.col("points")).alias("wkt"))
+    number = lambda pattern: F.round(F.regexp_extract("wkt", pattern, 1).cast("double"), 9)
+    return text.select("way_id", F.size(F.split("wkt", ", ")).alias("n_points"), number(r"^LINESTRING\(([-0-9.]+) ").alias("first_lon"), number(r" ([-0-9.]+)\)$").alias("last_lat"))
+
+
+@query(""";; select highway, trim(ref) as ref, round(lat, 9) as lat, round(lon, 9) as lon from x_ordered join x_corridors using (corridor_id) where highway like 'I-%' and ref <> ''""")
+def corridor_pairs(spark, sf_dir):
+    found = evaluate.corridor_pairs(x.ordered_exits(spark, sf_dir), x.corridors(spark, sf_dir))
+    return found.withColumns({c: F.round(c, 9) for c in ("lat", "lon")})
