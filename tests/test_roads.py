@@ -132,6 +132,54 @@ def test_the_nearest_part_is_that_of_the_cheapest_path():
         assert net.nearest_part(parts) == expected
 
 
+def by_rounds(assigned, ways, net):
+    """Connectors round by round, each with searches of its own."""
+    assigned = set(assigned)
+    while len(parts := graph.node_components(ways, assigned)) > 1:
+        k = net.nearest_part(parts)
+        path = None if k is None else net.cheapest(parts[k], set().union(*parts[:k], *parts[k + 1 :]))
+        if path is None or assigned.issuperset(path[1]):
+            break
+        assigned.update(path[1])
+    return assigned
+
+
+def test_searches_that_go_on_adopt_what_rounds_adopt():
+    grew = 0
+    for seed in range(300):
+        rng = np.random.default_rng(seed)
+        lines = {w: rng.choice(int(rng.integers(5, 60)), size=int(rng.integers(2, 5))).tolist() for w in range(int(rng.integers(4, 80)))}
+        own = {w for w in lines if rng.random() < 0.3}
+        arcs = []
+        for w in sorted(set(lines) - own):
+            for a, b in zip(lines[w], lines[w][1:]):
+                weight = int(rng.integers(1, 3 if seed % 2 else 1000))
+                arcs += [(a, b, weight, w), (b, a, weight, w)][: int(rng.integers(1, 3))]
+        found = graph.adopt_connectors(own, lines, graph.Connectors(arcs))
+        assert found == by_rounds(own, lines, graph.Connectors(arcs)), seed
+        grew += len(found) > len(own)
+    assert grew > 100
+
+
+def test_connectors_between_many_components_are_not_searched_anew():
+    net = graph.Connectors((a, b, 1, 10_000 + k) for k in range(3000) for a, b in ((2 * k + 1, 2 * k + 2), (2 * k + 2, 2 * k + 1)))
+    settled = []
+    net.holds = lambda cost, node: settled.append(node) or True
+    lines = {k: [2 * k, 2 * k + 1] for k in range(3000)} | {10_000 + k: [2 * k + 1, 2 * k + 2] for k in range(3000)}
+    assert len(graph.adopt_connectors(set(range(3000)), lines, net)) == 5999
+    assert len(settled) < 100_000, "a search of all for each of 2999 connectors settles millions"
+
+
+def test_a_search_that_has_all_ways_at_its_nodes_is_sure(spark, monkeypatch):
+    monkeypatch.setattr(graph, "REACHES", (3_000.0,))
+    rows = [way(1, [1, 2]), way(2, [50, 51]), way(3, [2, 3], [], "motorway_link"), way(4, [3, 4], [], "motorway_link"), way(5, [70, 71], [], "motorway_link")]
+    ways = ways_df(spark, *rows)
+    # one pass is enough where no path exists; far ways and other components aren't offered
+    assert sorted(r.way_id for r in graph.adopt_connector_paths(graph.assign_ways(ways), ways).collect()) == [1, 2]
+    offered = graph.offered_ways(graph.assign_ways(ways), ways, "route", 1e6, graph.linked_ways(ways))
+    assert {r.way_id for r in offered.collect()} == {1, 2, 3, 4}
+
+
 def test_refless_motorways_are_adopted_round_by_round(spark):
     rows = [way(1, [1, 2]), way(2, [2, 3], []), way(3, [3, 4], []), way(4, [4, 5], ["I-10"]), way(5, [9, 10], [])]
     ways = ways_df(spark, *rows)
