@@ -105,12 +105,20 @@ def exit_place_candidates(exits: DataFrame, places: DataFrame, *, metres: float
     """exits(exit_id, lat, lon) and places(poi_id, category, plat, plon): exit_id, poi_id, category, distance_m, rank.
     The rank in an exit's category is by distance in degrees, ties by id, and is not made anew after the cut at
     near_m metres. Spark keeps `most` rows of a group before the shuffle."""
-    pairs = range_join(exits.select("exit_id", "lat", "lon"), places.select("poi_id", "category", "plat", "plon"), box, ("lat", "lon"), ("plat", "plon"))
+    # exits of one place have the same places near them, and of a place's rows in a category the `most` least ids can count
+    spots = exits.select("lat", "lon").distinct()
+    named = places.groupBy("plat", "plon", "category").agg(F.slice(F.array_sort(F.collect_list("poi_id")), 1, most).alias("ids"))
+    held = named.groupBy("plat", "plon").agg(F.collect_list(F.struct("category", "ids")).alias("held"))
     four = [F.col(c) for c in ("lat", "lon", "plat", "plon")]
-    close = pairs.withColumn("m", geo.spheroid_m(*four)).where(F.col("m") <= metres).withColumn("deg", geo.planar_deg(*four))
-    rank = F.row_number().over(Window.partitionBy("exit_id", "category").orderBy("deg", "poi_id"))
-    ranked = close.withColumn("rank", rank).where(F.col("rank") <= most).withColumn("distance_m", F.rint("m").cast("int"))
-    return ranked.where(F.col("category").isin(*open_categories) | (F.col("distance_m") <= near_m)).select("exit_id", "poi_id", "category", "distance_m", "rank")
+    pairs = range_join(spots, held, box, ("lat", "lon"), ("plat", "plon")).withColumn("m", geo.spheroid_m(*four)).where(F.col("m") <= metres)
+    close = pairs.withColumn("deg", geo.planar_deg(*four)).select("lat", "lon", "m", "deg", F.explode("held").alias("h")).select("lat", "lon", "m", "deg", "h.*")
+    by_deg = Window.partitionBy("lat", "lon", "category").orderBy("deg")
+    # each nearer place has a row at least, so a place with `most` nearer ones is out
+    near = close.withColumn("n", F.rank().over(by_deg)).where(F.col("n") <= most).select("lat", "lon", "m", "deg", "category", F.explode("ids").alias("poi_id"))
+    rank = F.row_number().over(Window.partitionBy("lat", "lon", "category").orderBy("deg", "poi_id"))
+    ranked = near.withColumn("rank", rank).where(F.col("rank") <= most).withColumn("distance_m", F.rint("m").cast("int"))
+    linked = ranked.where(F.col("category").isin(*open_categories) | (F.col("distance_m") <= near_m)).select("lat", "lon", "poi_id", "category", "distance_m", "rank")
+    return exits.select("exit_id", "lat", "lon").join(linked.hint("merge"), ["lat", "lon"]).select("exit_id", "poi_id", "category", "distance_m", "rank")
 
 
 def prune_directional_conflicts(candidates: DataFrame, labels: DataFrame, exits: DataFrame) -> DataFrame:

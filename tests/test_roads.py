@@ -469,3 +469,23 @@ def test_exploded_sides_are_not_broadcast(spark):
         plan = joined._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
         assert joined.count() == 1
+
+
+def test_exits_and_places_at_one_place_are_paired_once(spark):
+    rng = np.random.default_rng(4)
+    grid = lambda: (40.0 + int(rng.integers(8)) * 0.002, -75.0 + int(rng.integers(8)) * 0.002)
+    stops = [(k, *grid()) for k in range(90)]
+    spots = [(k, [None, "food", "gas"][k % 3], *grid()) for k in range(300)] + [(7, "food", 40.0, -75.0)] * 2
+    a, b = spark.createDataFrame(stops, "exit_id long, lat double, lon double"), spark.createDataFrame(spots, "poi_id long, category string, plat double, plon double")
+    found = projection.exit_place_candidates(a, b, open_categories=("gas",), most=5)
+    a.createOrReplaceTempView("stops"), b.createOrReplaceTempView("spots")
+    pairs = a.crossJoin(b).where("abs(lat - plat) <= 0.024 and abs(lon - plon) <= 0.024").withColumn("m", projection.geo.spheroid_m(*map(F.col, ("lat", "lon", "plat", "plon")))).where("m <= 1600")
+    ranked = pairs.selectExpr("*", "row_number() over (partition by exit_id, category order by sqrt((plat - lat) * (plat - lat) + (plon - lon) * (plon - lon)), poi_id) as rank").where("rank <= 5 and (category = 'gas' or rint(m) <= 800)")
+    plain = ranked.selectExpr("exit_id", "poi_id", "category", "cast(rint(m) as int) as distance_m", "rank")
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(key, found.collect())) == sorted(map(key, plain.collect()))
+
+    def window_input(df):
+        return "Window [row_number" in df._jdf.queryExecution().optimizedPlan().toString() and "Aggregate [lat" in df._jdf.queryExecution().optimizedPlan().toString()
+
+    assert window_input(found), "ranks are made by place, not by exit"
