@@ -11,7 +11,7 @@ from roadmill.operators import evaluate, exits, graph, routes
 from roadmill.sources import osm
 
 from . import synthetic as x
-from .queries import _LAT, _LON, _mixed_ways, query
+from .queries import _LAT, _LON, _cut, _mixed_ways, query
 from .synthetic import pick, pick_sql, spot
 
 # ---------------------------------------------------------------- loading
@@ -117,7 +117,7 @@ def expanded_nodes(spark, sf_dir):
     suppliers = x.load(spark, sf_dir, "supplier")
     assigned = suppliers.select(k.cast("int").alias("corridor_id"), F.explode(F.array(k, k + 1, k + 2)).alias("node"))
     names = suppliers.select(k.cast("int").alias("corridor_id"), F.concat(F.lit("I-"), (k % 41).cast("string")).alias("highway"))
-    return exits.expand_nodes(assigned, _mixed_ways(spark, sf_dir), names)
+    return exits.expand_nodes(assigned, _mixed_ways(spark, sf_dir), names, _cut)
 
 
 @query("""e as (select distinct l_suppkey::int as corridor_id, l_partkey as node from lineitem), n as (select distinct corridor_id from x_corridor_exits)

@@ -489,3 +489,15 @@ def test_exits_and_places_at_one_place_are_paired_once(spark):
         return "Window [row_number" in df._jdf.queryExecution().optimizedPlan().toString() and "Aggregate [lat" in df._jdf.queryExecution().optimizedPlan().toString()
 
     assert window_input(found), "ranks are made by place, not by exit"
+
+
+def test_expansion_does_not_pair_all_ways_of_a_ref_with_all_its_corridors(spark):
+    rows = [way(k, [k, k + 1], ["I-95"]) for k in range(200)]
+    ways = ways_df(spark, *rows)
+    assigned = spark.createDataFrame([(c, c) for c in range(100)], "corridor_id int, node long")
+    names = spark.createDataFrame([(c, "I-95") for c in range(100)], "corridor_id int, highway string")
+    found = exits.expand_nodes(assigned, ways, names)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line and "highway#" in line]
+    assert joins and all("node#" in line for line in joins), "refs are joined by node as well"
+    assert {r.node for r in found.where("corridor_id = 50").collect()} == {49, 50, 51}
