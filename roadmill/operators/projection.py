@@ -18,6 +18,8 @@ from .spatial import range_join, segment_join, segments
 ANCHOR_M, ANCHOR_BOX = 1200.0, 0.02
 PLACE_M, PLACE_BOX, PLACE_NEAR_M, PLACE_RANK = 1600.0, 0.024, 800, 12
 HIGHWAY_DEG = 0.001
+#: Metres of a degree on the spheroid are no less, of latitude and of longitude at the equator.
+LEAST_LAT_M, LEAST_LON_M = 110_500.0, 111_300.0
 OPEN_CATEGORIES = ("park", "dogPark")
 UNNAMED_CATEGORIES = ("restArea", "park", "dogPark")
 
@@ -101,26 +103,42 @@ def is_linkable(category: Column, display_name: Column, name: Column) -> Column:
     return category.isNotNull() & (category != "restroom") & (category.isin(*UNNAMED_CATEGORIES) | (label != "unknown"))
 
 
-def exit_place_candidates(exits: DataFrame, places: DataFrame, *, metres: float = PLACE_M, box: float = PLACE_BOX, most: int = PLACE_RANK, near_m: int = PLACE_NEAR_M, open_categories: tuple[str, ...] = OPEN_CATEGORIES) -> DataFrame:
-    """exits(exit_id, lat, lon) and places(poi_id, category, plat, plon): exit_id, poi_id, category, distance_m, rank.
-    The rank in an exit's category is by distance in degrees, ties by id, and is not made anew after the cut at
-    near_m metres. Spark keeps `most` rows of a group before the shuffle."""
+def _spot_links(exits: DataFrame, places: DataFrame, metres: float, box: float, most: int, near_m: int, open_categories: tuple[str, ...]) -> DataFrame:
+    """lat, lon, poi_id, category, distance_m, rank: the links of each place that has exits."""
     # exits of one place have the same places near them, and of a place's rows in a category the `most` least ids can count
     spots = exits.select("lat", "lon").distinct()
     named = places.groupBy("plat", "plon", "category").agg(F.slice(F.array_sort(F.collect_list("poi_id")), 1, most).alias("ids"))
-    held = named.groupBy("plat", "plon").agg(F.collect_list(F.struct("category", "ids")).alias("held"))
+    held = named.groupBy("plat", "plon").agg(F.collect_list(F.struct("category", "ids")).alias("held")).withColumn("open", F.filter("held", lambda h: h.category.isin(*open_categories)))
     four = [F.col(c) for c in ("lat", "lon", "plat", "plon")]
     pairs = range_join(spots, held, box, ("lat", "lon"), ("plat", "plon")).withColumn("m", geo.spheroid_m(*four)).where(F.col("m") <= metres)
-    close = pairs.withColumn("deg", geo.planar_deg(*four)).select("lat", "lon", "m", "deg", F.explode("held").alias("h")).select("lat", "lon", "m", "deg", "h.*")
+    # ranks count what is nearer in degrees, so beyond the degrees that near_m metres can be, closed categories are cut already
+    degree_m = F.least(F.lit(LEAST_LAT_M), F.lit(LEAST_LON_M) * F.cos(F.radians(F.abs("lat") + box)))
+    ranked_there = F.when(F.col("deg") * degree_m <= near_m + 0.5, F.col("held")).otherwise(F.col("open"))
+    close = pairs.withColumn("deg", geo.planar_deg(*four)).select("lat", "lon", "m", "deg", F.explode(ranked_there).alias("h")).select("lat", "lon", "m", "deg", "h.*")
     by_deg = Window.partitionBy("lat", "lon", "category").orderBy("deg")
     # each nearer place has a row at least, so a place with `most` nearer ones is out
     near = close.withColumn("n", F.rank().over(by_deg)).where(F.col("n") <= most).select("lat", "lon", "m", "deg", "category", F.explode("ids").alias("poi_id"))
     rank = F.row_number().over(Window.partitionBy("lat", "lon", "category").orderBy("deg", "poi_id"))
     ranked = near.withColumn("rank", rank).where(F.col("rank") <= most).withColumn("distance_m", F.rint("m").cast("int"))
-    linked = ranked.where(F.col("category").isin(*open_categories) | (F.col("distance_m") <= near_m)).select("lat", "lon", "poi_id", "category", "distance_m", "rank")
+    return ranked.where(F.col("category").isin(*open_categories) | (F.col("distance_m") <= near_m)).select("lat", "lon", "poi_id", "category", "distance_m", "rank")
+
+
+def exit_place_candidates(exits: DataFrame, places: DataFrame, *, metres: float = PLACE_M, box: float = PLACE_BOX, most: int = PLACE_RANK, near_m: int = PLACE_NEAR_M, open_categories: tuple[str, ...] = OPEN_CATEGORIES) -> DataFrame:
+    """exits(exit_id, lat, lon) and places(poi_id, category, plat, plon): exit_id, poi_id, category, distance_m, rank.
+    The rank in an exit's category is by distance in degrees, ties by id, and is not made anew after the cut at
+    near_m metres. Spark keeps `most` rows of a group before the shuffle."""
+    linked = _spot_links(exits, places, metres, box, most, near_m, open_categories)
     return exits.select("exit_id", "lat", "lon").join(linked.hint("merge"), ["lat", "lon"]).select("exit_id", "poi_id", "category", "distance_m", "rank")
 
 
+def exit_place_lists(exits: DataFrame, places: DataFrame, *, metres: float = PLACE_M, box: float = PLACE_BOX, most: int = PLACE_RANK, near_m: int = PLACE_NEAR_M, open_categories: tuple[str, ...] = OPEN_CATEGORIES) -> DataFrame:
+    """`exit_place_candidates` as a row for each exit that has any: the columns of exits but lat and lon, and links, an
+    array of structs by poi_id."""
+    linked = _spot_links(exits, places, metres, box, most, near_m, open_categories)
+    lists = linked.groupBy("lat", "lon").agg(F.sort_array(F.collect_list(F.struct("poi_id", "category", "distance_m", "rank"))).alias("links"))
+    return exits.join(lists.hint("merge"), ["lat", "lon"]).drop("lat", "lon")
+
+
 def prune_directional_conflicts(candidates: DataFrame, labels: DataFrame, exits: DataFrame) -> DataFrame:
     """candidates without rest areas whose label names the opposite of the exit's direction. labels(poi_id, label) in
     lower case; exits(exit_id, direction), with as many rows as the exit has corridors."""

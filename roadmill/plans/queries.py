@@ -639,7 +639,10 @@ def places(spark, sf_dir):
 
 @query(_LINKS + ";; select exit_id, poi_id as place_id, category, distance_m, rank from used")
 def exit_place_links(spark, sf_dir):
-    return export.exit_place_links(x.corridors(spark, sf_dir), x.ordered_exits(spark, sf_dir), _links(spark, sf_dir))
+    # exits that no exported corridor has go before links are made, and links stay lists until exits are sorted
+    found = x.exits(spark, sf_dir).withColumn("exit_id", F.concat(F.lit("node/"), F.col("exit_id").cast("string")))
+    on = export.linked_exits(x.corridors(spark, sf_dir), x.ordered_exits(spark, sf_dir))
+    return export.place_links(projection.exit_place_lists(found.join(on.hint("merge"), "exit_id"), x.places(spark, sf_dir), open_categories=("PROMO",)))
 
 
 @query(_EXPORTED + ";; select corridor_id, direction_code from (select corridor_id, canonical_direction as direction_code, highway from c) where highway = 'I-5'")

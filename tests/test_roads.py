@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from roadmill.operators import corridors, exits, graph, projection, routes, spatial
+from roadmill.operators import corridors, exits, export, graph, projection, routes, spatial
 from roadmill.operators.corridors import Way
 from roadmill.plans import queries
 
@@ -520,6 +520,44 @@ def test_exits_and_places_at_one_place_are_paired_once(spark):
     assert window_input(found), "ranks are made by place, not by exit"
 
 
+@pytest.mark.parametrize("lat", [0.0, 40.0, 75.0, -89.99])
+def test_closed_categories_are_ranked_the_same_when_far_places_go_first(spark, lat):
+    """Against all pairs, with places so dense that both the rank and near_m cut, and far ones nearer in degrees."""
+    rng = np.random.default_rng(9)
+    across = 0.024 / max(np.cos(np.radians(lat)), 0.5)
+    spot = lambda: (float(lat + rng.uniform(-0.012, 0.012)), float(-75 + rng.uniform(-across, across)))
+    a = spark.createDataFrame([(k, *spot()) for k in range(12)], "exit_id long, lat double, lon double")
+    b = spark.createDataFrame([(k, [None, "food", "gas", "park"][k % 4], *spot()) for k in range(600)], "poi_id long, category string, plat double, plon double")
+    pairs = a.crossJoin(b).where("abs(lat - plat) <= 0.024 and abs(lon - plon) <= 0.024").withColumn("m", projection.geo.spheroid_m(*map(F.col, ("lat", "lon", "plat", "plon")))).where("m <= 1600")
+    ranked = pairs.selectExpr("*", "row_number() over (partition by exit_id, category order by sqrt((plat - lat) * (plat - lat) + (plon - lon) * (plon - lon)), poi_id) as rank").where("rank <= 12 and (category = 'park' or rint(m) <= 800)")
+    plain = ranked.selectExpr("exit_id", "poi_id", "category", "cast(rint(m) as int) as distance_m", "rank")
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(key, projection.exit_place_candidates(a, b).collect())) == sorted(map(key, plain.collect())) != []
+
+
+def test_links_stay_lists_until_their_exits_are_sorted(spark, sf_dir):
+    rng = np.random.default_rng(3)
+    spot = lambda: (40.0 + int(rng.integers(6)) * 0.003, -75.0 + int(rng.integers(6)) * 0.003)
+    stops = spark.createDataFrame([(f"node/{k}", *spot()) for k in range(40)], "exit_id string, lat double, lon double")
+    places = spark.createDataFrame([(f"p{k}", ["food", "gas", "park"][k % 3], *spot()) for k in range(120)], "poi_id string, category string, plat double, plon double")
+    held = spark.createDataFrame([(1, "I-5"), (2, "I-10"), (3, "US-1")], "corridor_id int, highway string")
+    on = spark.createDataFrame([(c, f"node/{k}") for k in range(40) for c in (1, 2, 3) if k % 5 and ((k + c) % 3 or k % 4 == 0)], "corridor_id int, exit_id string")
+    links = projection.exit_place_candidates(stops, places)
+    times = {}
+    for r in on.where("corridor_id < 3").collect():
+        times[r.exit_id] = times.get(r.exit_id, 0) + 1
+    once = sorted(tuple(r) for r in links.collect() if r.exit_id in times)
+    plain = [r for r in once for _ in range(times[r[0]])]
+    assert set(times.values()) == {1, 2} and len(times) < 40
+    flat = export.exit_place_links(held, on, links)
+    lists = export.place_links(projection.exit_place_lists(stops.join(export.linked_exits(held, on), "exit_id"), places))
+    assert [tuple(r) for r in flat.collect()] == [tuple(r) for r in lists.collect()] == plain
+    assert [tuple(r) for r in export.exit_place_links(held, on, links, dedupe=True).collect()] == once
+    for df in (flat, lists, queries.queries()["exit_place_links"](spark, sf_dir)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("Generate explode") < plan.index("Sort [exit_id"), "exits are sorted, then their links exploded"
+
+
 def test_expansion_does_not_pair_all_ways_of_a_ref_with_all_its_corridors(spark):
     rows = [way(k, [k, k + 1], ["I-95"]) for k in range(200)]
     ways = ways_df(spark, *rows)
