@@ -1,6 +1,7 @@
 """Graphs, corridors, exits and routes on small hand-made networks."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,6 +121,51 @@ def test_linked_components_equal_union_find(spark, seed):
     assert {r.node: r.component for r in graph.linked_components(links).collect()} == {int(n): least[int(r)] for n, r in zip(nodes, rank, strict=True)}
 
 
+@pytest.mark.parametrize("last", (0, 1 << 20))
+def test_components_of_chunks_are_linked_at_their_roots(spark, monkeypatch, last):
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(graph, "LAST_LINKS", last)
+    rows = [([int(x) for x in rng.integers(0, 300, int(rng.integers(1, 5)))],) for _ in range(120)]
+    pairs = np.array([p for (x,) in rows for p in zip(x, x[1:])])
+    nodes, rank = graph.union_find(*pairs.T)
+    least = {int(r): int(nodes[rank == r].min()) for r in set(rank)}
+    plain = {int(n): least[int(r)] for n, r in zip(nodes, rank, strict=True)}
+    assert {r.node: r.component for r in graph.linked_lists(spark.createDataFrame(rows, "nodes array<long>").repartition(4)).collect()} == plain
+    # chunk by chunk: a null list and a list of one link nothing
+    monkeypatch.setattr(graph, "CHUNK_NODES", 4)
+    lists = [pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.int64()))], names=["nodes"]) for x in ([[1, 2, 3], None, [], [9]], [[3, 2]], [[5, 4], [7]])]
+    assert [list(zip(*b.to_pydict().values(), strict=True)) for b in graph._stars(lists)] == [[(1, 1), (2, 1), (3, 1)], [(2, 2), (3, 2), (4, 4), (5, 4)]]
+
+
+def test_chains_need_no_rounds(spark, monkeypatch):
+    def fail(*_):
+        raise AssertionError("rounds, each of which shuffles every link")
+
+    monkeypatch.setattr(graph, "linked_rounds", fail)
+    links = spark.range(0, 3000, 1, 4).where("id % 50 <> 49").selectExpr("id as src", "id + 1 as dst")
+    assert {r.component for r in graph.linked_components(links).collect()} == {k * 50 for k in range(60)}
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_a_components_blank_ways_serve_all_routes_and_large_ones_go_by_reach(spark, monkeypatch, seed):
+    ways = ways_df(spark, *network(np.random.default_rng(seed), 120, 260, 0.8))
+    own, offered = graph.assign_ways(ways), []
+    told = graph.offered_ways
+    monkeypatch.setattr(graph, "offered_ways", lambda *a, **b: offered.append(a[3]) or told(*a, **b))
+    plain = sorted(map(tuple, graph.adopt_connector_paths(own, ways).collect()))
+    assert offered == [], "a row for each route and blank way grows with both"
+    monkeypatch.setattr(graph, "TASK_WAYS", 0)
+    monkeypatch.setattr(graph, "GROUP_WAYS", 0)
+    monkeypatch.setattr(graph, "REACHES", (4_000.0, 30_000.0, None))
+    assert sorted(map(tuple, graph.adopt_connector_paths(own, ways).collect())) == plain and offered[0] == 4_000.0
+    # components of both kinds
+    monkeypatch.setattr(graph, "TASK_WAYS", 100)
+    apart = [way(1000 + k, [5000 + k, 5001 + k], ["I-1"] if k % 3 == 0 else []) for k in range(8)]
+    both = ways.unionByName(ways_df(spark, *apart))
+    got = sorted(map(tuple, graph.adopt_connector_paths(graph.assign_ways(both), both).collect()))
+    assert got == sorted([*plain, *(("I-1", 1000 + k) for k in range(7))])
+
+
 def test_the_nearest_part_is_that_of_the_cheapest_path():
     rng = np.random.default_rng(8)
     for _ in range(60):
