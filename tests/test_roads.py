@@ -166,6 +166,27 @@ def test_a_components_blank_ways_serve_all_routes_and_large_ones_go_by_reach(spa
     assert got == sorted([*plain, *(("I-1", 1000 + k) for k in range(7))])
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_groups_connected_with_few_ways_are_drafted_in_one_pass(spark, monkeypatch, seed):
+    rows = network(np.random.default_rng(seed), 120, 260, 0.8)
+    high = 1 << 60  # ids that a float can't hold
+    ways = ways_df(spark, *((i + high, *rest) for i, *rest in rows))
+    members = {r: [w[0] + high for w in rows if w[2] == [r]] for r in ("I-0", "I-1", "I-2")}
+    groups = spark.createDataFrame([(k, r, high + 7, ["north", None, "east"][k], [(j, 1, i, "") for j, i in enumerate(members[r][:6])]) for k, r in enumerate(members)] + [(9, "I-3", 5, "west", [(0, 1, -4, "")])], GROUP)
+    passes, told = [], graph.offered_ways
+    monkeypatch.setattr(graph, "offered_ways", lambda *a, **b: passes.append(a[3]) or told(*a, **b))
+    drafts = lambda: sorted((r.corridor_id, r.group_order, r.root_relation_id, r.way_ids, r.lines) for r in corridors.corridor_drafts(groups, ways).collect())
+    found = drafts()
+    assert passes == [None], "cells and passes for groups that are connected with few ways"
+    whole = {w[0] + high: Way(w[0] + high, *w[1:]) for w in rows}
+    plain = [(k, corridors.draft(r, ["north", None, "east"][k], members[r][:6], whole)) for k, r in enumerate(members)]
+    assert [(k, root, ids) for _, k, root, ids, _ in found] == [(k, high + 7, sorted(d[0])) for k, d in plain if d] and found
+    assert [n for n, *_ in found] == list(range(1, len(found) + 1))
+    monkeypatch.setattr(graph, "GROUP_WAYS", 0)
+    monkeypatch.setattr(graph, "REACHES", (4_000.0, 30_000.0, None))
+    assert drafts() == found and 4_000.0 in passes
+
+
 def test_the_nearest_part_is_that_of_the_cheapest_path():
     rng = np.random.default_rng(8)
     for _ in range(60):
